@@ -9,7 +9,8 @@ from quillsift.functions.charsets import BLANK_CLASS, BLANKS, SEPARATOR_CLASS
 
 HTTP_PATTERN = r"(?iu)https?://"
 # Java's \b knows ASCII only, so the word boundary is spelled out.
-WEB_PATTERN = r"(?iu)(?<![\p{L}\p{N}_])www\.[a-z0-9]+\.[a-z]{2,}"
+# The look-behind follows the first letter, so it runs only where that letter is.
+WEB_PATTERN = r"(?iu)w(?<![\p{L}\p{N}_]w)ww\.[a-z0-9]+\.[a-z]{2,}"
 SUBJECT_PATTERN = r"(?iu)^Subject:"
 
 
@@ -42,6 +43,15 @@ def char_count(text: Column, char: str) -> Column:
     return (F.octet_length(text) - F.octet_length(rest)).cast("bigint")
 
 
+def without_lower(text: Column) -> Column:
+    return F.regexp_replace(text, "[a-z]+", "")
+
+
+def punctuation(text: Column) -> Column:
+    """The ASCII punctuation of a text, in order."""
+    return F.regexp_replace(text, r"[^!-/:-@\[-`{-~]+", "")
+
+
 def digit_count(text: Column) -> Column:
     rest = F.regexp_replace(text, r"\p{Nd}+", "")
     return (F.char_length(text) - F.char_length(rest)).cast("bigint")

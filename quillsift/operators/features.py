@@ -15,26 +15,39 @@ SHAPE_ENDS = ("_length", "_word_count", *RATIO_ENDS)
 PUNCTUATION_ENDS = tuple(f"_{name}_count" for name in PUNCTUATION.values())
 
 
-def part_features(column: str, prefix: str) -> list[Column]:
-    text = F.col(column)
+# Work columns: the text without a-z, and of that the punctuation alone.
+REST, MARKS = "_rest", "_marks"
+
+
+def part_features(text: Column, prefix: str) -> list[Column]:
+    """Features of one text, given its work columns under the same prefix.
+
+    Most characters are lower-case letters, so counting on what is left after
+    they are removed is several times cheaper than one pass per character.
+    """
+    rest, marks = F.col(f"{prefix}{REST}"), F.col(f"{prefix}{MARKS}")
+    upper = T.ascii_count(rest, "A-Z")
+    letters = upper + F.octet_length(text) - F.octet_length(rest)
     values = {
         "length": F.char_length(text).cast("bigint"),
         "word_count": T.word_count(text),
-        "upper_ratio": T.share(T.ascii_count(text, "A-Z"), T.ascii_count(text, "A-Za-z")),
-        "digit_ratio": T.share(T.digit_count(text), F.char_length(text)),
-        "has_http_url": F.coalesce(text.rlike(T.HTTP_PATTERN), F.lit(False)),
+        "upper_ratio": T.share(upper, letters),
+        "digit_ratio": T.share(T.digit_count(rest), F.char_length(text)),
+        "has_http_url": F.coalesce(marks.contains("://") & text.rlike(T.HTTP_PATTERN), F.lit(False)),
         "has_web_url": F.coalesce(text.rlike(T.WEB_PATTERN), F.lit(False)),
     }
-    values.update({f"{name}_count": T.char_count(text, char) for char, name in PUNCTUATION.items()})
+    values.update({f"{name}_count": T.char_count(marks, char) for char, name in PUNCTUATION.items()})
     return [value.alias(f"{prefix}_{name}") for name, value in values.items()]
 
 
-def feature_columns(subject: str = "Subject", body: str = "Body") -> list[Column]:
-    return [
-        *part_features(subject, "subject"),
-        *part_features(body, "body"),
-        (F.char_length(F.col(subject)) > 0).alias("has_subject"),
-    ]
+def with_features(messages: DataFrame, subject: str = "Subject", body: str = "Body") -> DataFrame:
+    """All features next to the columns already there, computed in one pass over each row."""
+    parts = {"subject": F.col(subject), "body": F.col(body)}
+    kept = messages.columns
+    work = messages.withColumns({f"{p}{REST}": T.without_lower(text) for p, text in parts.items()})
+    work = work.withColumns({f"{p}{MARKS}": T.punctuation(F.col(f"{p}{REST}")) for p in parts})
+    features = [column for p, text in parts.items() for column in part_features(text, p)]
+    return work.select(*kept, *features, (F.char_length(F.col(subject)) > 0).alias("has_subject"))
 
 
 def part_names(prefix: str) -> list[str]:
@@ -48,11 +61,6 @@ FLAGS = [c for c in FEATURES if c.endswith(FLAG_ENDS) or c == "has_subject"]
 NUMERIC = [c for c in FEATURES if c not in FLAGS]
 
 
-def with_features(messages: DataFrame) -> DataFrame:
-    """All features in one projection, next to the columns already there."""
-    return messages.select("*", *feature_columns())
-
-
 def build_dataset(raw: DataFrame) -> DataFrame:
     """Prepared and featured messages of all sources, in one plan."""
     return with_features(prepare(raw))

@@ -456,4 +456,7 @@ SELECT Source, class, round(precision, 6) AS precision, round(recall, 6) AS reca
     out["stream_dedup"] = (
         "SELECT sha256(text) AS digest FROM (SELECT DISTINCT concat(role, ' ', text) AS text FROM conversations)"
     )
+    spaced = "SELECT doc_id, CASE WHEN text = '' OR text[1] = ' ' THEN text ELSE ' ' || text END AS text FROM documents"
+    out["bpe_decode"] = spaced
+    out["bpe_roundtrip"] = spaced
     return out

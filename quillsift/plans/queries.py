@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillsift.functions import text as T
-from quillsift.operators import bayes, evaluate as ev, features as ft, prepare as pr, profile as pf
-from quillsift.operators import request_log as rl, split as sp, vectors as vc
+from quillsift.operators import bayes, evaluate as ev, features as ft, linear as ln, prepare as pr, profile as pf
+from quillsift.operators import request_log as rl, split as sp, subword as sw, vectors as vc
+from quillsift.operators.neural import fit_neural
 from quillsift.operators.prepare import KEY
+from quillsift.operators.score import score_inputs
+from quillsift.operators.search import random_search as search
 from quillsift.plans import settings as P
-from quillsift.plans.experiment import clean_messages, prepare_experiment
-from quillsift.session import new_path, written
-from quillsift.sources import csv_source, tables
+from quillsift.plans.experiment import classic_train, prepare_experiment, train_linear
+from quillsift.session import cut, new_path, written
+from quillsift.sources import csv_source, registry, tables
+from quillsift.streaming import streams as st
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -108,8 +115,6 @@ QUERIES["prepare_experiment"] = QUERIES.pop("prepare_experiment_rows")
 
 @query
 def score_projection(spark, folder):
-    from quillsift.operators.score import score_inputs
-
     messages = tables.unlabelled_messages(spark, folder)
     return score_inputs(messages, P.SCORE_FEATURES).select("msg_id", "text", *P.SCORE_FEATURES)
 
@@ -125,7 +130,7 @@ def message_features(spark, folder):
 @query
 def page_features(spark, folder):
     pages = tables.table(spark, folder, "pages")
-    return pages.select("page_id", *ft.feature_columns("url", "html"))
+    return ft.with_features(pages, "url", "html").drop("url", "html")
 
 
 @query
@@ -274,12 +279,10 @@ def class_weights(spark, folder):
 
 @query
 def pad_truncate(spark, folder):
-    from quillsift.operators.subword import pad_truncate as pad
-
     words = F.split(T.strip(F.col("text")), f"[{T.BLANK_CLASS}]+")
     lengths = F.transform(F.filter(words, lambda w: w != ""), F.char_length)
     return tables.table(spark, folder, "documents").select(
-        "doc_id", F.array_join(pad(lengths, P.PAD).cast("array<string>"), " ").alias("ids")
+        "doc_id", F.array_join(sw.pad_truncate(lengths, P.PAD).cast("array<string>"), " ").alias("ids")
     )
 
 
@@ -402,3 +405,210 @@ def sweep_grid(spark, folder):
 @query
 def request_windows(spark, folder):
     return rounded(rl.request_windows(tables.request_log(spark, folder)), "mean_ms")
+
+
+@query
+def stream_request_windows(spark, folder):
+    events = st.table_stream(spark, folder, "events")
+    log = st.with_event_time(tables.as_requests(events))
+    table = st.drain_complete(rl.request_windows(log), "windows")
+    return rounded(table.withColumn("start", F.col("start").cast("timestamp_ntz")), "mean_ms")
+
+
+# Sub-word vocabulary. What several queries need is made once per session and folder.
+
+
+def documents(spark: SparkSession, folder: str) -> DataFrame:
+    return tables.table(spark, folder, "documents").select("doc_id", "text")
+
+
+@lru_cache(maxsize=None)
+def document_subwords(spark: SparkSession, folder: str) -> sw.Subwords:
+    return sw.learn(documents(spark, folder), vocab_size=P.VOCAB)
+
+
+@lru_cache(maxsize=None)
+def experiment(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    return prepare_experiment(tables.raw_messages(spark, folder))
+
+
+@lru_cache(maxsize=None)
+def training(spark: SparkSession, folder: str) -> tuple[DataFrame, sw.Subwords, list[str]]:
+    train, _, features = experiment(spark, folder)
+    subwords = sw.learn(train, "text", P.VOCAB)
+    return ln.training_table(train, subwords, features), subwords, features
+
+
+@lru_cache(maxsize=None)
+def classic(spark: SparkSession, folder: str) -> ln.TextModel:
+    return ln.fit_linear(*training(spark, folder))
+
+
+@query
+def pretoken_counts(spark, folder):
+    return sw.pretoken_counts(documents(spark, folder))
+
+
+@query
+def bpe_train(spark, folder):
+    model = sw.learn(documents(spark, folder), vocab_size=P.VOCAB)
+    tokens = model.vocab_table(spark).withColumnRenamed("id", "merged")
+    return model.merge_table(spark).join(tokens, "merged")
+
+
+@query
+def bpe_encode(spark, folder):
+    ids = sw.encode(F.col("text"), document_subwords(spark, folder))
+    return documents(spark, folder).select("doc_id", ids.alias("ids"))
+
+
+@query
+def bpe_decode(spark, folder):
+    model = document_subwords(spark, folder)
+    encoded = documents(spark, folder).select("doc_id", sw.encode(F.col("text"), model).alias("ids"))
+    return encoded.select("doc_id", sw.decode(F.col("ids"), model).alias("text"))
+
+
+@query
+def bpe_roundtrip(spark, folder):
+    path = new_path(spark, "subwords")
+    document_subwords(spark, folder).save(spark, path)
+    model = sw.Subwords.load(spark, path)
+    encoded = documents(spark, folder).select("doc_id", sw.encode(F.col("text"), model).alias("ids"))
+    return encoded.select("doc_id", sw.decode(F.col("ids"), model).alias("text"))
+
+
+@query
+def subword_lengths(spark, folder):
+    ids = sw.encode(F.col("text"), document_subwords(spark, folder))
+    lengths = documents(spark, folder).select(
+        T.word_count(F.col("text")).alias("words"), F.size(ids).alias("subwords")
+    )
+    points = pf.length_percentiles(written(lengths, "lengths"), ["words", "subwords"], P.PERCENTS)
+    return rounded(points.withColumn("ratio", F.try_divide("subwords", "words")), "ratio")
+
+
+@query
+def subword_tfidf(spark, folder):
+    table, _, _ = training(spark, folder)
+    stages = vc.tfidf_stages(table, table.count(), (1, 1), 200)
+    return PipelineModel(stages).transform(table).select(*KEY, vector_to_array("tfidf").alias("weights"))
+
+
+# Trained models
+
+
+@query
+def logistic_scores(spark, folder):
+    _, test, _ = experiment(spark, folder)
+    return classic(spark, folder).score(test, [*KEY, "Label"])
+
+
+@query
+def grid_search(spark, folder):
+    table, _, features = training(spark, folder)
+    return ln.grid_search(table, features, P.GRID, P.GRID_FOLDS)
+
+
+@query
+def random_search(spark, folder):
+    table, _, features = training(spark, folder)
+    return search(table, features, P.SPACE, P.TRIALS)
+
+
+@query
+def neural_scores(spark, folder):
+    table, subwords, features = training(spark, folder)
+    _, test, _ = experiment(spark, folder)
+    model = fit_neural(table, subwords, features, embedding_dim=16, dense_units=16)
+    return model.score(test, [*KEY, "Label"])
+
+
+@query
+def train_report(spark, folder):
+    raw = tables.raw_messages(spark, folder)
+    _, record = classic_train(raw, new_path(spark, "train"), "classic_baseline", P.VOCAB, C=10.0)
+    return record
+
+
+@query
+def cached_train(spark, folder):
+    """The second request for the same parameters finds the first one's model."""
+    store = new_path(spark, "cache")
+    table, subwords, features = training(spark, folder)
+    key = {"C": 1.0, "vocab": P.VOCAB}
+    _, test, _ = experiment(spark, folder)
+
+    def train() -> ln.TextModel:
+        return ln.fit_linear(table, subwords, features, C=key["C"])
+
+    parts = []
+    for attempt in (1, 2):
+        model, reused = registry.cached_model(spark, store, "classic", "classic", key, train)
+        scored = model.score(test, [*KEY]).withColumn("spam_probability", F.round("spam_probability", 6))
+        parts.append(scored.select(F.lit(attempt).alias("attempt"), F.lit(reused).alias("reused"), "*"))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def registry_roundtrip(spark, folder):
+    store = new_path(spark, "registry")
+    registry.register(spark, store, "classic", "classic", classic(spark, folder))
+    model = registry.load_model(spark, store, "classic")
+    _, test, _ = experiment(spark, folder)
+    return model.score(test, [*KEY])
+
+
+# Runs
+
+
+def rule_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """One run record per source, from the rule score."""
+    metrics = rule_metrics(spark, folder)
+    settings = F.create_map(
+        F.lit("feature"), F.lit("body_upper_ratio"), F.lit("threshold"), F.lit(str(P.THRESHOLD))
+    )
+    return metrics.select(
+        F.col("Source").alias("run"),
+        F.lit("classic rule").alias("operation"),
+        settings.alias("hyperparameters"),
+        ev.metrics_struct().alias("metrics"),
+    )
+
+
+@query
+def run_records(spark, folder):
+    path = new_path(spark, "runs")
+    registry.save_runs(rule_runs(spark, folder), path)
+    return spark.read.schema(registry.RUN_SCHEMA).json(path).select("run", "operation", "metrics.*")
+
+
+@query
+def run_ranking(spark, folder):
+    path = new_path(spark, "runs")
+    registry.save_runs(rule_runs(spark, folder), path)
+    runs = registry.load_runs(spark, path).drop("duration_s")
+    return rounded(ev.ranked_runs(runs), *ev.METRICS)
+
+
+# Scoring
+
+
+@query
+def batch_score(spark, folder):
+    model = classic(spark, folder)
+    messages = tables.unlabelled_messages(spark, folder)
+    return model.score(score_inputs(messages, model.features), ["msg_id"])
+
+
+@query
+def stream_score(spark, folder):
+    messages = tables.as_messages(st.table_stream(spark, folder, "conversations"))
+    return st.drain(st.score_stream(messages, classic(spark, folder), ["msg_id"]), "scores")
+
+
+@query
+def stream_dedup(spark, folder):
+    messages = tables.as_messages(st.table_stream(spark, folder, "conversations"))
+    texts = messages.withColumn("text", T.joined_text("subject", "body"))
+    return st.drain(st.first_arrivals(texts, "text", "msg_id").select("digest"), "firsts")

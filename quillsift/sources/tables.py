@@ -35,9 +35,13 @@ def raw_messages_nulls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def request_log(spark: SparkSession, folder: str) -> DataFrame:
+    return as_requests(table(spark, folder, "events"))
+
+
+def as_requests(events: DataFrame) -> DataFrame:
     """Events as a log of scoring requests from a sweep over users and batch sizes."""
     user, event = F.col("user_id") % 5, F.col("event_id") % 5
-    return table(spark, folder, "events").select(
+    return events.select(
         "event_id",
         "ts",
         F.col("value").alias("response_ms"),
@@ -48,8 +52,12 @@ def request_log(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unlabelled_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return as_messages(table(spark, folder, "conversations"))
+
+
+def as_messages(turns: DataFrame) -> DataFrame:
     """Conversation turns as messages to score: (msg_id, subject, body)."""
-    return table(spark, folder, "conversations").select(
+    return turns.select(
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("msg_id"),
         F.col("role").alias("subject"),
         F.col("text").alias("body"),
