@@ -83,23 +83,17 @@ def spread(featured: DataFrame, features: list[str]) -> DataFrame:
     """(feature, varies, one_value): does a column hold several values, or exactly one?
 
     Two values differ exactly when the smallest is below the largest, so one
-    aggregate without any distinct set answers for every column.
+    aggregate without any distinct set answers for every column. Its single row
+    is turned into one row per feature on the driver.
     """
-    bounds = featured.agg(
-        *[F.min(c).cast("double").alias(f"low_{c}") for c in features],
-        *[F.max(c).cast("double").alias(f"high_{c}") for c in features],
-    )
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("feature"),
-                F.coalesce(F.col(f"low_{c}") < F.col(f"high_{c}"), F.lit(False)).alias("varies"),
-                F.coalesce(F.col(f"low_{c}") == F.col(f"high_{c}"), F.lit(False)).alias("one_value"),
-            )
-            for c in features
-        ]
-    )
-    return bounds.select(F.inline(rows))
+    ends = featured.agg(
+        *[F.min(c).alias(f"low_{c}") for c in features], *[F.max(c).alias(f"high_{c}") for c in features]
+    ).first()
+    rows = []
+    for c in features:
+        low, high = ends[f"low_{c}"], ends[f"high_{c}"]
+        rows.append((c, low is not None and low < high, low is not None and low == high))
+    return featured.sparkSession.createDataFrame(rows, "feature string, varies boolean, one_value boolean")
 
 
 def varying_features(featured: DataFrame, features: list[str]) -> list[str]:

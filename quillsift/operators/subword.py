@@ -25,7 +25,7 @@ PRETOKEN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 PAIR = r"(?s)(?=([^\x{D800}-\x{DFFF}]{2}))"
 FIRST_SYMBOL = 0x100
 ROUND_PAIRS = 256
-PENDING_MERGES = 16
+PENDING_MERGES = 24
 CACHED_WORDS = 1 << 17
 
 

@@ -71,7 +71,7 @@ def feature_sql(subject: str, body: str) -> dict[str, str]:
     return out
 
 
-FEATURED = f"featured AS (SELECT *, {named(feature_sql('Subject', 'Body'))} FROM prep)"
+FEATURED = f"featured AS MATERIALIZED (SELECT *, {named(feature_sql('Subject', 'Body'))} FROM prep)"
 TEXTS = """texts AS (SELECT *, concat(Subject, ' ', Body) AS text FROM prep)"""
 CLEAN = f"""clean AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY text ORDER BY Source, row_id) AS nth FROM texts)

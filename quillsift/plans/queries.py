@@ -18,8 +18,8 @@ from quillsift.operators.prepare import KEY
 from quillsift.operators.score import score_inputs
 from quillsift.operators.search import random_search as search
 from quillsift.plans import settings as P
-from quillsift.plans.experiment import classic_train, prepare_experiment, train_linear
-from quillsift.session import cut, new_path, written
+from quillsift.plans.experiment import classic_train, prepare_experiment
+from quillsift.session import new_path, written
 from quillsift.sources import csv_source, registry, tables
 from quillsift.streaming import streams as st
 
@@ -441,7 +441,7 @@ def training(spark: SparkSession, folder: str) -> tuple[DataFrame, sw.Subwords,
 
 @lru_cache(maxsize=None)
 def classic(spark: SparkSession, folder: str) -> ln.TextModel:
-    return ln.fit_linear(*training(spark, folder))
+    return ln.fit_linear(*training(spark, folder), max_iter=P.MAX_ITER)
 
 
 @query
@@ -507,13 +507,13 @@ def logistic_scores(spark, folder):
 @query
 def grid_search(spark, folder):
     table, _, features = training(spark, folder)
-    return ln.grid_search(table, features, P.GRID, P.GRID_FOLDS)
+    return ln.grid_search(table, features, P.GRID, P.GRID_FOLDS, max_iter=P.MAX_ITER)
 
 
 @query
 def random_search(spark, folder):
     table, _, features = training(spark, folder)
-    return search(table, features, P.SPACE, P.TRIALS)
+    return search(table, features, P.SPACE, P.TRIALS, max_iter=P.MAX_ITER)
 
 
 @query
@@ -527,7 +527,7 @@ def neural_scores(spark, folder):
 @query
 def train_report(spark, folder):
     raw = tables.raw_messages(spark, folder)
-    _, record = classic_train(raw, new_path(spark, "train"), "classic_baseline", P.VOCAB, C=10.0)
+    _, record = classic_train(raw, new_path(spark, "train"), "classic_baseline", P.VOCAB, max_iter=P.MAX_ITER)
     return record
 
 
@@ -540,7 +540,7 @@ def cached_train(spark, folder):
     _, test, _ = experiment(spark, folder)
 
     def train() -> ln.TextModel:
-        return ln.fit_linear(table, subwords, features, C=key["C"])
+        return ln.fit_linear(table, subwords, features, C=key["C"], max_iter=P.MAX_ITER)
 
     parts = []
     for attempt in (1, 2):

@@ -92,13 +92,13 @@ def save_runs(runs: DataFrame, folder: str) -> None:
     runs.withColumn("timestamp", F.lit(now())).write.mode("append").json(folder)
 
 
-def load_runs(spark: SparkSession, path: str) -> DataFrame:
+def load_runs(spark: SparkSession, path: str, one_per_file: bool = False) -> DataFrame:
     """Run records as a flat table: family, parameters as 'k=v, ...', metrics.
 
-    Reads folders written by ``save_runs`` as well as ``*.metrics.json`` files,
-    whose name is the run where the record has none.
+    Reads folders written by ``save_runs``, or with ``one_per_file`` indented
+    ``*.metrics.json`` files, whose name is the run where the record has none.
     """
-    runs = spark.read.option("multiLine", True).schema(RUN_SCHEMA).json(path)
+    runs = spark.read.option("multiLine", one_per_file).schema(RUN_SCHEMA).json(path)
     stem = F.regexp_replace(F.col("_metadata.file_name"), r"\.metrics\.json$", "")
     given = F.coalesce("hyperparameters", "best_params")
     pairs = F.transform(F.map_entries(given), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
