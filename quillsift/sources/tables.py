@@ -6,8 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Tables whose texts are costly to process, with the key that spreads them.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A parquet table; a text table in fewer splits than there are cores is spread by its key.
+
+    Large tables come in many splits and are read as they are, without a shuffle.
+    """
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in TEXT_KEYS and rows.rdd.getNumPartitions() < cores:
+        return rows.repartition(cores, TEXT_KEYS[name])
+    return rows
 
 
 def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
