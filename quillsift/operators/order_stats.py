@@ -32,7 +32,7 @@ def sliced(counts: DataFrame, group: list[str], value: str, slices: int = SLICES
     borders = counts.groupBy(*group).agg(
         F.percentile_approx(value, shares, SKETCH_ACCURACY).alias("borders")
     )
-    below = F.size(F.filter("borders", lambda border: border < F.col(value)))
+    below = F.coalesce(F.size(F.filter("borders", lambda border: border < F.col(value))), F.lit(0))
     return counts.join(small_side(borders, SMALL_ROWS), group).withColumn("slice", below).drop("borders")
 
 

@@ -156,7 +156,7 @@ def learn(
     spark = texts.sparkSession
     # A fixed number of partitions: a small word table would be merged into one task.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    words = cut(counted.where(F.char_length("word") > 1).repartition(parts))
+    words = cut(counted.where(F.char_length("word") > 1).repartition(parts, "word"))
     pending: list[tuple[int, int, int]] = []
     while len(tokens) < vocab_size:
         if len(pending) >= PENDING_MERGES:

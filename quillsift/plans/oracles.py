@@ -283,6 +283,11 @@ def oracle_sql() -> dict[str, str]:
         f"count(*) - count(DISTINCT {c}) - max(({c} IS NULL)::INT) AS duplicate_values FROM raw"
         for c, t in types.items()
     )
+    out["source_columns"] = with_(RAW_NULLS) + " UNION ALL ".join(
+        f"SELECT Source, '{c}' AS \"column\", '{types[c]}' AS dtype, count(*) AS rows, count_if({c} IS NULL) AS missing_values, "
+        f"count(*) - count(DISTINCT {c}) - max(({c} IS NULL)::INT) AS duplicate_values FROM raw GROUP BY Source"
+        for c in ("row_id", "Body", "Label")
+    )
     out["label_mix"] = with_(RAW) + (
         "SELECT Source, Label, count(*) AS count, round(count(*) / sum(count(*)) OVER (PARTITION BY Source), 6) AS share "
         "FROM raw GROUP BY Source, Label"

@@ -164,6 +164,12 @@ def column_profile(spark, folder):
     return pf.column_profile(raw, raw.columns)
 
 
+@query
+def source_columns(spark, folder):
+    raw = tables.raw_messages_nulls(spark, folder)
+    return pf.column_profile(raw, ["row_id", "Body", "Label"], by=["Source"])
+
+
 @query
 def label_mix(spark, folder):
     return rounded(pf.label_mix(tables.raw_messages(spark, folder), ["Source"]), "share")
