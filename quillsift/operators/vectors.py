@@ -18,10 +18,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillsift.functions.charsets import STOP_WORDS
-from quillsift.session import small_side
+from quillsift.session import cut, small_side
 
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
 MODEL_ROWS = 500_000
+MAX_WIDTH = 10_000_000
 
 
 def word_terms(
@@ -103,7 +104,8 @@ def vocabulary(termed: DataFrame, max_features: int | None, terms: str = "terms"
     """Rows (term, tf, df) of the most frequent terms, ties by term.
 
     One explode carries both counts and is summed before the shuffle. The result
-    is the width of the model, so it has to fit the driver as the model does.
+    is the width of the model, which the driver holds: without ``max_features``
+    the terms are counted first, and too many of them are an error, not a cut.
     """
     def mark(array: Column, tf: int, df: int) -> Column:
         return F.transform(
@@ -115,9 +117,13 @@ def vocabulary(termed: DataFrame, max_features: int | None, terms: str = "terms"
         termed.select(F.inline(marks))
         .groupBy("term")
         .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
-        .orderBy(F.desc("tf"), "term")
     )
-    return (counts.limit(max_features) if max_features else counts).collect()
+    if not max_features:
+        counts = cut(counts)
+        max_features = counts.count()
+        if max_features > MAX_WIDTH:
+            raise ValueError(f"{max_features} terms are too many for one model: set max_features")
+    return counts.orderBy(F.desc("tf"), "term").limit(max_features).collect()
 
 
 def tfidf_stages(

@@ -464,4 +464,20 @@ SELECT Source, class, round(precision, 6) AS precision, round(recall, 6) AS reca
     spaced = "SELECT doc_id, CASE WHEN text = '' OR text[1] = ' ' THEN text ELSE ' ' || text END AS text FROM documents"
     out["bpe_decode"] = spaced
     out["bpe_roundtrip"] = spaced
+    # No look-ahead in this dialect: a mark splits off the last blank of a run before a non-blank.
+    white = r"\x{9}-\x{d} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+    mark = "\ue000"
+    pieces = (
+        rf"''s|''t|''re|''ve|''m|''ll|''d| ?\p{{L}}+| ?\p{{N}}+| ?[^{white}\p{{L}}\p{{N}}{mark}]+|[{white}]+"
+    )
+    marked = rf"regexp_replace(text, '([{white}]+)([{white}][^{white}])', '\1{mark}\2', 'g')"
+    out["pretoken_counts"] = (
+        f"WITH spaced AS ({spaced}), "
+        f"words AS (SELECT unnest(regexp_extract_all({marked}, '{pieces}')) AS word FROM spaced) "
+        "SELECT word, count(*) AS n FROM words GROUP BY word"
+    )
+    out["run_records"] = ruled + (
+        f"SELECT Source AS run, 'classic rule' AS operation, {rates}, {P.THRESHOLD}::DOUBLE AS threshold, "
+        "concat_ws(' ', tn, fp, fn, tp) AS confusion FROM metrics"
+    )
     return out

@@ -586,7 +586,9 @@ def rule_runs(spark: SparkSession, folder: str) -> DataFrame:
 def run_records(spark, folder):
     path = new_path(spark, "runs")
     registry.save_runs(rule_runs(spark, folder), path)
-    return spark.read.schema(registry.RUN_SCHEMA).json(path).select("run", "operation", "metrics.*")
+    runs = spark.read.schema(registry.RUN_SCHEMA).json(path).select("run", "operation", "metrics.*")
+    cells = F.array_join(F.flatten("confusion_matrix").cast("array<string>"), " ")
+    return rounded(runs.withColumn("confusion", cells).drop("confusion_matrix"), *ev.METRICS)
 
 
 @query

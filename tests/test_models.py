@@ -108,6 +108,13 @@ def test_vocabulary_width_and_ngrams(spark):
     assert len(vc.vocabulary(grams, None)) == 6
 
 
+def test_too_many_terms_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(vc, "MAX_WIDTH", 5)
+    grams = PipelineModel(vc.term_stages((1, 2))).transform(tokenised(spark, ["a b a b", "b c"]))
+    with pytest.raises(ValueError):
+        vc.vocabulary(grams, None)
+
+
 def test_scaling_uses_population_deviation(spark):
     df = spark.createDataFrame([(1.0, 5), (2.0, 5), (4.0, 5)], "x double, c int")
     got = np.array([tuple(r) for r in vc.with_scaled(df, ["x", "c"]).collect()])
