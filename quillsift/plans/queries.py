@@ -92,7 +92,7 @@ def low_quality_filter(spark, folder):
 
 @query
 def varying_features(spark, folder):
-    train, _, _ = prepare_experiment(tables.raw_messages(spark, folder))
+    train, _, _ = experiment(spark, folder)
     return ft.spread(train, ft.FEATURES).where("varies").select("feature")
 
 
@@ -103,7 +103,7 @@ def constant_features(spark, folder):
 
 @query
 def prepare_experiment_rows(spark, folder):
-    train, test, _ = prepare_experiment(tables.raw_messages(spark, folder))
+    train, test, _ = experiment(spark, folder)
     columns = [*KEY, "Label", "text"]
     return train.select(*columns, F.lit("train").alias("split")).unionByName(
         test.select(*columns, F.lit("test").alias("split"))
@@ -457,7 +457,7 @@ def pretoken_counts(spark, folder):
 
 @query
 def bpe_train(spark, folder):
-    model = sw.learn(documents(spark, folder), vocab_size=P.VOCAB)
+    model = document_subwords(spark, folder)
     tokens = model.vocab_table(spark).withColumnRenamed("id", "merged")
     return model.merge_table(spark).join(tokens, "merged")
 
