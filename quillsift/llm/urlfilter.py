@@ -8,7 +8,7 @@ are merged. A template is rejected if its purity, the blocked share of its merge
 its parent, host and the whole table, reaches ``REJECT``.
 
 Pages are first counted by (host, template), which collapses the variable segments before the shuffle;
-all tree work is on these counts, and the verdicts come back by a join on them.
+all tree work is on these counts, written between its steps, and the verdicts come back by a join on them.
 
 Defined results: a null address, or one without ``://``, has an empty host and path and falls under no
 rule; empty segments are skipped; repeated rows count each; without labelled addresses nothing is
@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillsift.session import written
+
 RULES = [
     ("org/", "allow"),
     ("example.org/es/", "block"),
@@ -128,11 +130,12 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, url: str = "u
     shapes = named.groupBy("host", *LEVELS).agg(
         F.count("*").alias("pages"), F.count("label").alias("labelled"), F.count(F.when(F.col("label") == "block", 1)).alias("blocked")
     )
-    shaped = generalised(shapes)
+    shaped = written(generalised(written(shapes, "shapes")), "templates")
     found = purities(shaped).withColumn("template", F.concat_ws("/", "host", *[F.nullif(F.col(t), F.lit("")) for t in ("t1", "t2", "t3")]))
     verdicts = shaped.select("host", *LEVELS, "t1", "t2", "t3").join(found, ["host", "t1", "t2", "t3"])
+    verdicts = written(verdicts.select("host", *LEVELS, "template", "purity"), "verdicts")
     own = F.when(F.col("purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
-    return named.join(verdicts.select("host", *LEVELS, "template", "purity"), ["host", *LEVELS]).select(
+    return named.join(verdicts, ["host", *LEVELS]).select(
         "page", "host", "path", "rule", F.coalesce("label", own).alias("verdict"), "template", "purity"
     )
 
