@@ -1,15 +1,16 @@
 """N-gram Jaccard join: all texts whose sets of five-word shingles have a similarity of 0.8 or more.
 
-Method: texts with equal shingle sets are one node. Each node has 96 MinHash values; 24 bands of four
-bring nodes into buckets (a pair at 0.8 misses all of them with probability 3e-6, a pair at 0.9 with
-4e-12). Within a bucket the values are compared incrementally, sixteen at a time: after each step a pair
+Method: texts with equal shingle sets are one node. Each node has 80 MinHash values; 20 bands of four
+bring nodes into buckets (a pair at 0.8 misses all of them with probability 3e-5, a pair at 0.9 with
+6e-10, and groups are compared in full). Of each value 16 bits are kept for the comparison. Within a bucket the values are compared incrementally, sixteen at a time: after each step a pair
 is dropped when the posterior probability (uniform prior) that its similarity reaches the threshold is
 below ``TOLERANCE``. The survivors form candidate groups, in which the shingle sets are compared exactly.
 
 What moves is linear in the texts: a bucket returns a spanning forest of its surviving links, not its
 pairs; equal buckets of several bands are looked at once; a group returns one row per member with the
 number of its links. Large buckets and groups are dealt as pairs of blocks of bounded size, so no task
-holds one whole; nothing is capped.
+holds one whole; nothing is capped. Joins with the list of group members are sort-merge joins at every
+size, as that list grows with the texts.
 
 Defined results: null and empty texts, or texts without a word, have no shingles, no link and a class of
 their own; a text of one to four words has one shingle of them all; repeated rows are copies, also if
@@ -36,18 +37,18 @@ from quillsift.session import written
 WIDTH = 5
 SEED = 23
 THRESHOLD = Fraction(4, 5)
-HASHES, ROWS = 96, 4
+HASHES, ROWS = 80, 4
 STEP = 16
 TOLERANCE = 1e-5
 BUCKET_BLOCK = 1024
 GROUP_BLOCK = 256
 COLUMNS_AT_ONCE = 8192
-PRINT = "digest string, n long, signature binary, bands array<long>"
-ARROW_PRINT = pa.struct([("digest", pa.string()), ("n", pa.int64()), ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))])
+PRINT = "digest binary, n long, signature binary, bands array<long>"
+ARROW_PRINT = pa.struct([("digest", pa.binary()), ("n", pa.int64()), ("signature", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
-def _digest(codes: np.ndarray) -> str:
-    return hashlib.blake2b(codes.tobytes(), digest_size=16).hexdigest()
+def _digest(codes: np.ndarray) -> bytes:
+    return hashlib.blake2b(codes.tobytes(), digest_size=16).digest()
 
 
 def minhashes(codes: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -79,10 +80,10 @@ def _fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             own: list = [{"digest": None, "n": 0, "signature": None, "bands": None}] * (len(first) - 1)
             if len(filled):
                 signatures = minhashes(codes, np.append(first[filled], first[-1]))
-                bands = band_keys(signatures)
+                bands, short = band_keys(signatures), signatures.astype(np.uint16)
                 for k, i in enumerate(filled.tolist()):
                     unique = np.unique(codes[first[i] : first[i + 1]])
-                    own[i] = {"digest": _digest(unique), "n": len(unique), "signature": signatures[k].tobytes(), "bands": bands[k]}
+                    own[i] = {"digest": _digest(unique), "n": len(unique), "signature": short[k].tobytes(), "bands": bands[k]}
             rows += own
         yield pa.array(rows, type=ARROW_PRINT)
 
@@ -90,7 +91,7 @@ def _fingerprints(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def _shingle_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """The sorted set of shingle hashes as bytes, and its digest."""
     cache: dict = {}
-    kind = pa.struct([("digest", pa.string()), ("codes", pa.binary())])
+    kind = pa.struct([("digest", pa.binary()), ("codes", pa.binary())])
     for texts in batches:
         rows = []
         for _, found in chunks(texts.to_pylist(), cache):
@@ -102,11 +103,12 @@ def _shingle_sets(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def fingerprint(text: Column) -> Column:
-    return F.arrow_udf(_fingerprints, PRINT)(text)
+    """Marked as nondeterministic, as is the next, so that no filter on it is evaluated a second time."""
+    return F.arrow_udf(_fingerprints, PRINT).asNondeterministic()(text)
 
 
 def shingle_set(text: Column) -> Column:
-    return F.arrow_udf(_shingle_sets, "struct<digest:string,codes:binary>")(text)
+    return F.arrow_udf(_shingle_sets, "struct<digest:binary,codes:binary>").asNondeterministic()(text)
 
 
 def least_matches(threshold: float = float(THRESHOLD), tolerance: float = TOLERANCE) -> dict[int, int]:
@@ -168,7 +170,7 @@ def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for group in runs(batches, ["key", "i", "j"]):
         if group.num_rows > 1:
             names = group.column("digest").to_pylist()
-            values = np.frombuffer(b"".join(group.column("signature").to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
+            values = np.frombuffer(b"".join(group.column("signature").to_pylist()), dtype=np.uint16).reshape(-1, HASHES)
             left, right = _sides(group.column("own").to_numpy(), group.column("i")[0].as_py(), group.column("j")[0].as_py())
             a, b = likely_links(values[left], values[right], least)
             for node, root in enumerate(roots(len(names), left[a], right[b]).tolist()):
@@ -176,9 +178,9 @@ def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     out[0].append(names[node])
                     out[1].append(names[root])
         if len(out[0]) > 10_000:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in out], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in out], ["a", "b"])
             out = ([], [])
-    yield pa.RecordBatch.from_arrays([pa.array(x, pa.string()) for x in out], ["a", "b"])
+    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in out], ["a", "b"])
 
 
 def shared(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -232,7 +234,7 @@ def _group_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             texts[right] = pairs.sum(axis=0)
             docs[right] = copies[left] @ pairs
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([names[r] for r in root], pa.string()), pa.array(texts), pa.array(docs)],
+            [pa.array(names, pa.binary()), pa.array([names[r] for r in root], pa.binary()), pa.array(texts), pa.array(docs)],
             ["digest", "root", "texts", "docs"],
         )
 
@@ -247,10 +249,10 @@ def candidates(nodes: DataFrame) -> DataFrame:
     """(digest, root, size): members of the groups of two or more that likely links tie together."""
     keys = nodes.select("digest", F.explode("bands").alias("key"))
     code = F.xxhash64("digest")
-    buckets = keys.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(code).alias("x"), F.sum(code.cast("decimal(38,0)")).alias("s"))
-    buckets = buckets.where("size > 1").groupBy("size", "x", "s").agg(F.min("key").alias("key")).select("key", "size")
-    members = keys.join(buckets, "key").join(nodes.select("digest", "signature"), "digest")
-    edges = blocked(members, "size", "key", BUCKET_BLOCK, "digest").mapInArrow(_bucket_links, "a string, b string")
+    buckets = keys.groupBy("key").agg(F.count("*").alias("size"), F.bit_xor(code).alias("members"))
+    buckets = buckets.where("size > 1").groupBy("size", "members").agg(F.min("key").alias("key")).select("key", "size")
+    members = keys.join(buckets.hint("merge"), "key").join(nodes.select("digest", "signature").hint("merge"), "digest")
+    edges = blocked(members, "size", "key", BUCKET_BLOCK, "digest").mapInArrow(_bucket_links, "a binary, b binary")
     groups = written(components(edges).withColumnRenamed("node", "digest"), "groups")
     return groups.join(groups.groupBy("root").agg(F.count("*").alias("size")), "root")
 
@@ -264,12 +266,12 @@ def classes(docs: DataFrame, found: DataFrame, key: str = "doc_id", text: str =
     groups = written(
         candidates(nodes).join(nodes.select("digest", "rep", "copies"), "digest").select("digest", "rep", "copies", "root", "size"), "members"
     )
-    wanted = groups.select(F.col("rep").alias("want")).distinct()
+    wanted = groups.select(F.col("rep").alias("want"), "digest", "copies", "size", F.xxhash64("root").alias("key"))
     texts = docs.select(F.col(key).alias("have"), F.col(text).cast("string").alias("body"))
-    texts = texts.join(wanted, F.col("have").eqNullSafe(F.col("want")), "left_semi")
-    sets = texts.select(shingle_set(F.col("body")).alias("s")).select("s.*")
-    members = groups.select("digest", "copies", "size", F.xxhash64("root").alias("key")).join(sets, "digest")
-    compared = blocked(members, "size", "key", GROUP_BLOCK, "digest").mapInArrow(_group_links, "digest string, root string, texts long, docs long")
+    texts = texts.join(wanted.hint("merge"), F.col("have").eqNullSafe(F.col("want")))
+    members = texts.select("digest", "copies", "size", "key", shingle_set(F.col("body")).alias("s"))
+    members = members.where("s.digest = digest").select("digest", "copies", "size", "key", "s.codes")
+    compared = blocked(members, "size", "key", GROUP_BLOCK, "digest").mapInArrow(_group_links, "digest binary, root binary, texts long, docs long")
     compared = written(compared, "compared")
     counts = compared.groupBy("digest").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     trees = components(compared.select(F.col("digest").alias("a"), F.col("root").alias("b")))
