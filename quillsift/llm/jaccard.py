@@ -308,7 +308,7 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     rows = rows.withColumn("loser", F.col("digest").isNotNull() & ~F.col("class_id").eqNullSafe(F.col(key)))
     repeated = rows.groupBy(key).agg(F.count("*").alias("n"), F.max("loser").alias("loser"))
     gone = repeated.where("n > 1 or loser").select(F.col(key).alias("gone"))
-    single = docs.join(gone, F.col(key).eqNullSafe(F.col("gone")), "left_anti")
+    single = docs.join(gone.hint("merge"), F.col(key).eqNullSafe(F.col("gone")), "left_anti")
     shared_keys = repeated.where("n > 1").select(F.col(key).alias("gone"))
     several = docs.join(shared_keys, F.col(key).eqNullSafe(F.col("gone")), "left_semi")
     several = several.withColumn("__print", fingerprint(F.col(text).cast("string"))["digest"])
