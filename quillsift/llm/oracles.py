@@ -172,7 +172,7 @@ g0 AS (
 ),"""
     + "".join(_level(k) for k in (1, 2, 3))
     + """
-whole AS (SELECT CASE WHEN sum(labelled) > 0 THEN sum(blocked) / sum(labelled) ELSE 0 END AS p FROM g3),
+whole AS (SELECT (sum(blocked) + 4 * 0.5::DOUBLE) / (sum(labelled) + 4) AS p FROM g3),
 p0 AS (SELECT host, (sum(blocked) + 4 * any_value(p)) / (sum(labelled) + 4) AS purity FROM g3, whole GROUP BY host),"""
     + "".join(_purity(k) for k in (1, 2, 3))
     + """

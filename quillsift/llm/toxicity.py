@@ -3,14 +3,14 @@
 Method: a lexicon transducer (a trie of learned stems and fixed function words) maps words to symbols.
 Small transducers for negation, reported speech, target and threat are composed into one table that
 reads a clause and gives each insult or threat the reading it has there: plain, aimed at somebody,
-negated, reported, a threat, a threat against somebody. A stem's weight is the log odds of its being
-toxic; a text's features are the summed weights of each reading, its matching clauses and its strongest
-one, and a logistic model fitted to labels turns them into a score. Clauses without an insult or a
+negated, reported, a threat, a threat against somebody. A stem's weight is the log of how much more
+often toxic texts use it; a text's features are the summed weights of each reading, its matching clauses, its strongest
+one and their density, and a logistic model fitted to labels turns them into a score. Clauses without an insult or a
 threat can't score, so only clauses around a trie match are read word by word.
 
-Learned from labels: the stems (whole words and prefixes whose share of toxic texts is high beyond
-doubt: lower Wilson bound) and the logistic weights, on a bounded sample of ``MAX_LABELLED`` labelled
-documents chosen by a hash of their id. The function words are fixed.
+Learned from labels: the stems (whole words and prefixes that toxic texts use far more often) and the
+logistic weights, on a bounded sample of ``MAX_LABELLED`` labelled documents chosen by a hash of their id.
+The function words are fixed.
 
 Defined results: null and empty texts have no match and get the score of a text without one; labels
 that are null or for unknown documents don't train; contradictory labels count as toxic; a document
@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
@@ -33,12 +34,11 @@ from quillsift.session import written
 
 MAX_LABELLED = 12_000
 SEED = 5
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8, 9)
 LEAST_DOCS = 6
-LEAST_SHARE = 0.5
-WILSON_Z = 1.96
+LEAST_RATIO = 2.0
 EXPLAINED = 2
-MORE_DOCS = 1.2
+ALL_WORDS = ""
 SCOPE = 3
 WORDS = {
     "t": "you your he she they them him her du dein sie ihr er tu vous il elle ils toi tú usted él ella ellos vosotros",
@@ -48,6 +48,7 @@ WORDS = {
 }
 READINGS = ["plain", "aimed", "negated", "reported", "threat", "threat_aimed"]
 CLAUSE = re.compile(r"[.!?;:\n]+")
+LETTERS = re.compile(r"[^\W\d_]+")
 WORD = re.compile(r"[^\W_]+|[\"“”„«»]")
 QUOTES = set('"“”„«»')
 PER_WORDS = 100.0
@@ -156,7 +157,7 @@ class Lexicon:
         return sums
 
     def features(self, text: str | None, trie) -> list[float]:
-        """Weights of each reading, matching clauses, the strongest clause, and weight per 100 words."""
+        """Logs of the weights of each reading, of matching clauses and of the weight per 100 words, and the strongest clause."""
         sums, clauses, most = np.zeros(len(READINGS)), 0, 0.0
         lowered = (text or "").lower()
         hits = [end for end, _ in trie.iter(lowered)] if len(trie) else []
@@ -172,8 +173,8 @@ class Lexicon:
                         sums += own
                         clauses += 1
                         most = max(most, float(own.sum()))
-        n = max(1, lowered.count(" ")) if hits else 1
-        return [*np.log1p(np.maximum(sums, 0)).tolist(), math.log1p(clauses), most, PER_WORDS * float(sums.sum()) / n]
+        density = PER_WORDS * float(sums.sum()) / max(1, lowered.count(" ")) if hits else 0.0
+        return [*np.log1p(np.maximum(sums, 0)).tolist(), math.log1p(clauses), most, math.log1p(max(0.0, density))]
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 60) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -211,43 +212,79 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
     return written(rows.select("text", "toxic").where("text is not null").repartition(8), "labelled")
 
 
-def wilson(hits: Column, n: Column) -> Column:
-    """Lower bound of a share."""
-    z = WILSON_Z
-    share = hits / n
-    return (share + z * z / (2 * n) - z * F.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+def forms(word: str) -> list[str]:
+    """The prefixes a stem can be, and the word itself."""
+    return [word[:n] for n in STEMS if n < len(word)] + [word] * (len(word) >= STEMS[0])
+
+
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(stem, clean, toxic, docs): uses in clean and toxic texts, and toxic texts with it, summed per task."""
+    uses: tuple[Counter, Counter] = (Counter(), Counter())
+    docs: Counter = Counter()
+    for batch in batches:
+        for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
+            found = Counter(f for w in LETTERS.findall(text.lower()) for f in forms(w))
+            found[ALL_WORDS] = sum(1 for _ in LETTERS.finditer(text))
+            uses[int(toxic > 0)].update(found)
+            if toxic > 0:
+                docs.update(found.keys())
+    names = sorted({*uses[0], *uses[1]})
+    columns = [pa.array(names, pa.string())] + [pa.array([c[n] for n in names], pa.int64()) for c in (*uses, docs)]
+    yield pa.RecordBatch.from_arrays(columns, ["stem", "clean", "toxic", "docs"])
 
 
 def learn_stems(sample: DataFrame) -> dict[str, float]:
-    """Stem -> log odds, for stems whose share of toxic texts is surely above LEAST_SHARE.
+    """Stem -> log of how much more often toxic texts use it than clean ones, per word.
 
-    Words of long or copied toxic texts are sure too, so stems are taken by falling odds, and only if
-    LEAST_DOCS toxic documents with them do not have EXPLAINED stems already. What reaches the driver
-    is bounded by the sample.
+    Words of long or copied toxic texts are more frequent there too, so stems are taken one by one, each
+    time the one with the largest product of that log and the number of toxic texts with it that do not
+    have EXPLAINED uses of earlier stems, until fewer than LEAST_DOCS such texts are left for any. Then
+    stems follow that are as typical as the weakest of these and as widespread as a quarter of their median.
+    What reaches the driver is bounded by the sample.
     """
-    numbered = sample.withColumn("doc", F.monotonically_increasing_id())
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
-    rows = numbered.select("doc", "toxic", F.explode(words).alias("word"))
-    forms = F.array(F.col("word"), *[F.when(F.length("word") > n, F.substring("word", 1, n)) for n in STEMS])
-    rows = rows.select("doc", "toxic", F.explode(F.array_distinct(forms)).alias("stem"))
-    rows = written(rows.where(F.length("stem") >= min(STEMS)).distinct(), "stems")
-    counts = rows.groupBy("stem").agg(F.count("*").alias("n"), F.sum("toxic").alias("hits")).where(f"hits >= {LEAST_DOCS}")
-    sure = counts.where(wilson(F.col("hits"), F.col("n")) >= LEAST_SHARE)
-    odds = F.log((F.col("hits") + 0.5) / (F.col("n") - F.col("hits") + 0.5))
-    found = rows.where("toxic = 1").join(sure.select("stem", odds.alias("odds")), "stem")
-    by_stem: dict[str, tuple[float, list]] = {}
-    for row in found.select("stem", "odds", "doc").collect():
-        by_stem.setdefault(row["stem"], (row["odds"], []))[1].append(row["doc"])
-    explained: dict[int, int] = {}
+    counts = written(sample.mapInArrow(_counted, "stem string, clean long, toxic long, docs long"), "stems")
+    counts = counts.groupBy("stem").agg(*[F.sum(c).alias(c) for c in ("clean", "toxic", "docs")])
+    whole = counts.where(F.col("stem") == ALL_WORDS).first()
+    if whole is None or not whole["toxic"] or not whole["clean"]:
+        return {}
+    ratio = F.log((F.col("toxic") + 0.5) / whole["toxic"] / ((F.col("clean") + 0.5) / whole["clean"]))
+    sure = counts.where(F.col("docs") >= LEAST_DOCS).withColumn("ratio", ratio).where((F.col("ratio") >= LEAST_RATIO) & (F.col("stem") != ALL_WORDS))
+    weight = {r["stem"]: r["ratio"] for r in sure.select("stem", "ratio").collect()}
+
+    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [sorted(Counter(f for w in LETTERS.findall(t.lower()) for f in forms(w) if f in weight).items()) for t in batch.column("text").to_pylist()]
+            kind = pa.list_(pa.struct([("stem", pa.string()), ("n", pa.int32())]))
+            yield pa.RecordBatch.from_arrays([pa.array([[{"stem": f, "n": n} for f, n in row] for row in rows], kind)], ["used"])
+
+    found = sample.where("toxic = 1").select("text").mapInArrow(used, "used array<struct<stem:string,n:int>>").collect()
+    texts = [{u["stem"]: u["n"] for u in r["used"]} for r in found]
+    with_stem: dict[str, set] = {}
+    for k, row in enumerate(texts):
+        for stem in row:
+            with_stem.setdefault(stem, set()).add(k)
+    explained = [0] * len(texts)
+    left = {stem: set(rows) for stem, rows in with_stem.items()}
     stems: dict[str, float] = {}
-    for stem, (weight, docs) in sorted(by_stem.items(), key=lambda x: (-x[1][0], -len(x[0]), x[0])):
-        inside = any(stem[:n] in stems for n in range(1, len(stem)))
-        if inside or any(s.startswith(stem) and len(docs) < MORE_DOCS * len(by_stem[s][1]) for s in stems):
-            continue
-        if sum(explained.get(d, 0) < EXPLAINED for d in docs) >= LEAST_DOCS:
-            stems[stem] = weight
-            for d in docs:
-                explained[d] = explained.get(d, 0) + 1
+
+    def related(stem: str) -> bool:
+        return any(stem.startswith(s) or s.startswith(stem) for s in stems)
+
+    while left:
+        best = max(left, key=lambda x: (len(left[x]) * weight[x], len(x), x))
+        if len(left.pop(best)) < LEAST_DOCS:
+            break
+        stems[best] = weight[best]
+        for k in with_stem[best]:
+            explained[k] += texts[k][best]
+        done = {k for k in with_stem[best] if explained[k] >= EXPLAINED}
+        left = {stem: rows - done for stem, rows in left.items() if not related(stem)}
+    if stems:
+        spread = sorted(len(with_stem[x]) for x in stems)[len(stems) // 2] / 4
+        weakest = min(stems.values())
+        for stem in sorted(with_stem, key=lambda x: (-len(with_stem[x]) * weight[x], -len(x), x)):
+            if weight[stem] >= weakest and len(with_stem[stem]) >= spread and not related(stem):
+                stems[stem] = weight[stem]
     return stems
 
 

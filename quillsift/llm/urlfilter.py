@@ -5,7 +5,7 @@ variable and become the wildcard ``*``; so does any segment under a parent that
 few addresses each. Addresses that fit a rule are the labelled ones. Sibling templates with labels are
 ordered by their share of blocked addresses, and neighbours that a two-proportion test can't tell apart
 are merged. A template is rejected if its purity, the blocked share of its merged branch smoothed towards
-its parent, host and the whole table, reaches ``REJECT``.
+its parent, host, the whole table and one half, reaches ``REJECT``.
 
 Pages are first counted by (host, template), which collapses the variable segments before the shuffle;
 all tree work is on these counts, written between its steps, and the verdicts come back by a join on them.
@@ -108,7 +108,7 @@ def purities(shapes: DataFrame) -> DataFrame:
     sums = [F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")]
     trees = shapes.groupBy(*keys).agg(*sums)
     whole = trees.agg(F.sum("labelled").alias("all_n"), F.sum("blocked").alias("all_b"))
-    prior = F.when(F.col("all_n") > 0, F.col("all_b") / F.col("all_n")).otherwise(F.lit(0.0))
+    prior = _smoothed("all_b", "all_n", F.lit(0.5))
     hosts = trees.groupBy("host").agg(*sums).join(F.broadcast(whole))
     known = hosts.select("host", _smoothed("blocked", "labelled", prior).alias("purity"))
     for level in range(1, len(keys)):
