@@ -108,8 +108,12 @@ def constant_features(featured: DataFrame, features: list[str]) -> list[str]:
     return [c for c in features if c in constant]
 
 
+# The categories of the report.
+CATEGORIES = ["shape/ratio features", "embedded/link flags", "punctuation counts", "other"]
+
+
 def feature_summary(names: DataFrame) -> DataFrame:
-    """Count and list of the features of each category, from a table of feature names."""
+    """Count and list of the features of each category, 0 and empty where none, from a table of feature names."""
     def ends(suffixes: tuple[str, ...]) -> Column:
         return F.col("feature").rlike("(" + "|".join(suffixes) + ")$")
 
@@ -119,6 +123,7 @@ def feature_summary(names: DataFrame) -> DataFrame:
         .when(ends(PUNCTUATION_ENDS), "punctuation counts")
         .otherwise("other")
     )
-    return names.groupBy(category.alias("category")).agg(
-        F.count("*").alias("count"), F.array_sort(F.collect_list("feature")).alias("list")
+    categories = names.sparkSession.createDataFrame([(c,) for c in CATEGORIES], "category string")
+    return categories.join(names.withColumn("category", category), "category", "left").groupBy("category").agg(
+        F.count("feature").alias("count"), F.array_sort(F.collect_list("feature")).alias("list")
     )

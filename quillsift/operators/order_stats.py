@@ -3,8 +3,9 @@
 Values are first counted, so equal values collapse before the shuffle. Each
 group is then cut into slices of neighbouring values. Totals per slice are
 small; their running sum tells where a slice starts, and only inside a slice is
-a window needed. Slice borders come from an approximate sketch: they steer the
-balance of the work and never the result. Counts are read several times, so the
+a window needed. The number of slices follows the number of counted rows, their
+borders come from an approximate sketch: both steer the balance of the work and
+never the result. Counts are read several times, so the
 callers pass them through ``session.cut`` first.
 """
 
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from quillsift.session import small_side
 
-SLICES = 64
+LEAST_SLICES, MOST_SLICES = 16, 4096
+ROWS_PER_SLICE = 100_000
 SKETCH_ACCURACY = 10_000
 SMALL_ROWS = 100_000
 HASH_PREFIX = 4
@@ -26,8 +28,9 @@ def _before(total: str, window) -> Column:
     return F.coalesce(F.sum(total).over(earlier), F.lit(0))
 
 
-def sliced(counts: DataFrame, group: list[str], value: str, slices: int = SLICES) -> DataFrame:
+def sliced(counts: DataFrame, group: list[str], value: str, slices: int | None = None) -> DataFrame:
     """Add ``slice``, an order-preserving bucket of the values within each group."""
+    slices = slices or min(MOST_SLICES, max(LEAST_SLICES, counts.count() // ROWS_PER_SLICE))
     shares = [i / slices for i in range(1, slices)]
     borders = counts.groupBy(*group).agg(
         F.percentile_approx(value, shares, SKETCH_ACCURACY).alias("borders")
@@ -42,7 +45,7 @@ def running_totals(
     value: str,
     totals: list[str],
     carry: list[str] | None = None,
-    slices: int = SLICES,
+    slices: int | None = None,
 ) -> DataFrame:
     """Add ``before_<t>`` for each t in ``totals``: its sum over the group's smaller values.
 
@@ -69,7 +72,7 @@ def running_totals(
 
 
 def quantiles(
-    counts: DataFrame, group: list[str], value: str, n: str, probs: list[float], slices: int = SLICES
+    counts: DataFrame, group: list[str], value: str, n: str, probs: list[float], slices: int | None = None
 ) -> DataFrame:
     """(group, rows, quantiles): exact quantiles with linear interpolation.
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillsift.functions import text as T
+from quillsift.session import written
 
 KEY = ["Source", "row_id"]
 
@@ -48,19 +49,19 @@ def with_text(messages: DataFrame) -> DataFrame:
 def first_of_each(messages: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Keep the first message, in (Source, row_id) order, of each distinct text.
 
-    Only digests and row keys are grouped, with partial aggregation, so a text
-    that fills a third of the table costs one small row per task. The texts move
-    once, for the semi-join.
+    Digests and row keys are written once; the digests that occur more than once
+    are grouped with partial aggregation, so a text that fills a third of the
+    table costs one small row per task. Only the keys that are not the first of
+    their text are taken out again: few rows, which AQE broadcasts if their
+    bytes are small, and then no text moves.
     """
     by = by or []
     digest = F.unhex(F.sha2("text", 256)).alias("digest")
-    winners = (
-        messages.select(*KEY, *[c for c in by if c not in KEY], digest)
-        .groupBy("digest", *by)
-        .agg(F.min(F.struct(*KEY)).alias("first"))
-        .select("first.*")
-    )
-    return messages.join(winners, KEY, "left_semi")
+    keyed = written(messages.select(*KEY, *[c for c in by if c not in KEY], digest), "digests")
+    firsts = keyed.groupBy("digest", *by).agg(F.min(F.struct(*KEY)).alias("first"), F.count("*").alias("n")).where("n > 1")
+    repeated = keyed.join(firsts, ["digest", *by])
+    losers = repeated.where(F.struct(*KEY) != F.col("first")).select(*KEY)
+    return messages.join(losers, KEY, "left_anti")
 
 
 def drop_low_quality(messages: DataFrame, column: str = "text", max_tokens: int = 100_000) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillsift.functions import text as T
@@ -22,7 +22,7 @@ def _digest(columns: list[str]) -> Column:
 
 
 def source_summary(raw: DataFrame, columns: list[str]) -> DataFrame:
-    """Per source: rows, columns, ham, spam, spam rate, missing bodies, duplicate rows."""
+    """Per source: rows, columns of ``raw``, ham, spam, spam rate, missing bodies, rows that repeat in ``columns``."""
     per_row = raw.groupBy("Source", _digest(columns).alias("digest")).agg(
         F.count("*").alias("n"),
         F.count_if(F.col("Label") == 0).alias("ham"),
@@ -33,7 +33,7 @@ def source_summary(raw: DataFrame, columns: list[str]) -> DataFrame:
     )
     return per_row.groupBy("Source").agg(
         F.sum("n").alias("rows"),
-        F.lit(len(columns)).cast("bigint").alias("cols"),
+        F.lit(len(raw.columns)).cast("bigint").alias("cols"),
         F.sum("ham").alias("ham"),
         F.sum("spam").alias("spam"),
         F.try_divide(F.sum("label_sum").cast("double"), F.sum("labels")).alias("spam_rate"),
@@ -89,10 +89,8 @@ def column_profile(df: DataFrame, columns: list[str], by: list[str] | None = Non
 def label_mix(df: DataFrame, by: list[str]) -> DataFrame:
     """(by, Label, count, share): label counts and their share within each group."""
     counts = df.groupBy(*by, "Label").agg(F.count("*").alias("count"))
-    totals = counts.groupBy(*by).agg(F.sum("count").alias("total"))
-    return counts.join(totals, by).select(
-        *by, "Label", "count", (F.col("count") / F.col("total")).alias("share")
-    )
+    total = F.sum("count").over(Window.partitionBy(*by))
+    return counts.select(*by, "Label", "count", (F.col("count") / total).alias("share"))
 
 
 def label_mix_pivot(df: DataFrame, labels: tuple[int, ...] = (0, 1)) -> DataFrame:

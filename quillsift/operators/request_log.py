@@ -13,14 +13,18 @@ CELL = ["users", "batch_size"]
 
 def request_summary(log: DataFrame) -> DataFrame:
     """Per (users, batch_size): requests, failures, requests per second, response percentiles."""
-    span = (F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / 1e6
-    totals = log.groupBy(*CELL).agg(
-        F.count("*").alias("requests"),
+    counts = cut(
+        log.groupBy(*CELL, "response_ms").agg(
+            F.count("*").alias("n"), F.sum("failed").alias("failed"), F.min("ts").alias("first"), F.max("ts").alias("last")
+        )
+    )
+    span = (F.unix_micros(F.max("last").cast("timestamp")) - F.unix_micros(F.min("first").cast("timestamp"))) / 1e6
+    totals = counts.groupBy(*CELL).agg(
+        F.sum("n").alias("requests"),
         F.sum("failed").cast("bigint").alias("failures"),
-        F.try_divide(F.count("*").cast("double"), span).alias("rps"),
+        F.try_divide(F.sum("n").cast("double"), span).alias("rps"),
     )
-    counts = cut(log.groupBy(*CELL, "response_ms").agg(F.count("*").alias("n")))
-    points = quantiles(counts, CELL, "response_ms", "n", [0.5, 0.95, 0.99])
+    points = quantiles(counts.select(*CELL, "response_ms", "n"), CELL, "response_ms", "n", [0.5, 0.95, 0.99])
     return totals.join(points, CELL).select(
         *CELL,
         "requests",

@@ -63,6 +63,10 @@ class Subwords:
     tokens: list[str]
     merges: list[tuple[int, int, int]]
 
+    def token_sizes(self) -> list[int]:
+        """Bytes of each token: its byte-level text has one character per byte."""
+        return [len(token) for token in self.tokens]
+
     def vocab_table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(list(enumerate(self.tokens)), "id int, token string")
 

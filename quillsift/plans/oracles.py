@@ -24,6 +24,7 @@ RAW = """raw AS (
          l.toxic AS Label
   FROM documents d JOIN labels l ON d.doc_id = l.doc_id)"""
 
+RAW_ALL = RAW.replace("JOIN labels", "LEFT JOIN labels")
 RAW_NULLS = RAW.replace("raw AS", "raw_full AS") + """,
 raw AS (
   SELECT Source, row_id, CASE WHEN row_id % 50 = 7 THEN NULL ELSE Body END AS Body, Label FROM raw_full)"""
@@ -208,29 +209,32 @@ docs AS (
   SELECT row_id AS doc, text, Label, split AS part, concat(Source, ' (test)') AS dataset FROM home_split
   UNION ALL SELECT row_id, text, Label, 'other', Source FROM unique_docs WHERE Source <> '{P.HOME}')"""
 
+RAW_ALL_NULLS = RAW_NULLS.replace("JOIN labels", "LEFT JOIN labels")
 BASE = (RAW, PREP)
+BASE_ALL = (RAW_ALL, PREP)
 FULL = (RAW, PREP, FEATURED)
+FULL_ALL = (RAW_ALL, PREP, FEATURED)
 
 
 def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out["raw_messages"] = with_(RAW) + "SELECT * FROM raw"
     out["csv_roundtrip"] = with_(RAW) + "SELECT Source, Body, Label FROM raw"
-    out["prep_messages"] = with_(RAW_NULLS, PREP) + "SELECT * FROM prep"
+    out["prep_messages"] = with_(RAW_ALL_NULLS, PREP) + "SELECT * FROM prep"
     injected = "concat(" + ", ".join(
         ["text"] + [f"chr({ord(c)}), 'x'" for c in P.INJECTED]
     ) + ")"
     out["normalise_separators"] = f"SELECT doc_id, {plain(injected)} AS text FROM documents"
     names = ", ".join(FEATURES)
-    out["build_dataset"] = with_(*FULL) + f"SELECT Source, row_id, Subject, Body, Label, {names} FROM featured"
-    out["message_features"] = with_(*FULL) + f"SELECT Source, row_id, {names} FROM featured"
+    out["build_dataset"] = with_(*FULL_ALL) + f"SELECT Source, row_id, Subject, Body, Label, {names} FROM featured"
+    out["message_features"] = with_(*FULL_ALL) + f"SELECT Source, row_id, {names} FROM featured"
     out["page_features"] = f"SELECT page_id, {named(feature_sql('url', 'html'))} FROM pages"
-    out["dedup_first"] = with_(*BASE, TEXTS) + (
+    out["dedup_first"] = with_(*BASE_ALL, TEXTS) + (
         "SELECT arg_min(Source, (Source, row_id)) AS Source, arg_min(row_id, (Source, row_id)) AS row_id, "
-        "arg_min(Label, (Source, row_id)) AS Label, text FROM texts GROUP BY text"
+        "first(Label ORDER BY Source, row_id) AS Label, text FROM texts GROUP BY text"
     )
-    out["dedup_within_source"] = with_(*BASE, TEXTS) + (
-        "SELECT Source, min(row_id) AS row_id, arg_min(Label, row_id) AS Label, text FROM texts GROUP BY Source, text"
+    out["dedup_within_source"] = with_(*BASE_ALL, TEXTS) + (
+        "SELECT Source, min(row_id) AS row_id, first(Label ORDER BY row_id) AS Label, text FROM texts GROUP BY Source, text"
     )
     out["low_quality_filter"] = (
         f"SELECT doc_id, text FROM documents WHERE trim(text, {quoted(BLANKS)}) <> '' "
@@ -241,7 +245,7 @@ def oracle_sql() -> dict[str, str]:
     out["varying_features"] = with_(*FULL, TEXTS, CLEAN, train, trained, spread_sql("featured_train")) + (
         "SELECT feature FROM spread WHERE n > 1"
     )
-    out["constant_features"] = with_(*FULL, spread_sql("featured")) + "SELECT feature FROM spread WHERE n = 1"
+    out["constant_features"] = with_(*FULL_ALL, spread_sql("featured")) + "SELECT feature FROM spread WHERE n = 1"
     out["prepare_experiment"] = with_(*BASE, TEXTS, CLEAN, train) + (
         "SELECT Source, row_id, Label, text, split FROM split_rows"
     )
@@ -255,20 +259,22 @@ def oracle_sql() -> dict[str, str]:
         "WHEN regexp_matches(feature, '(_has_http_url|_has_web_url)$') THEN 'embedded/link flags' "
         "WHEN regexp_matches(feature, '_count$') THEN 'punctuation counts' ELSE 'other' END"
     )
-    out["feature_summary"] = with_(*FULL, spread_sql("featured")) + (
-        f"SELECT {category} AS category, count(*) AS count, string_agg(feature, ',' ORDER BY feature) AS list "
-        "FROM spread WHERE n > 1 GROUP BY 1"
+    categories = "('shape/ratio features'), ('embedded/link flags'), ('punctuation counts'), ('other')"
+    out["feature_summary"] = with_(*FULL) + (
+        "SELECT c.category, count(feature) AS count, coalesce(string_agg(feature, ',' ORDER BY feature), '') AS list "
+        f"FROM (VALUES {categories}) c(category) LEFT JOIN (SELECT *, {category} AS category FROM (SELECT unnest(json_keys(to_json(f))) AS feature "
+        "FROM (SELECT * EXCLUDE (Source, row_id, Subject, Body, Label) FROM featured LIMIT 1) f)) n ON n.category = c.category GROUP BY 1"
     )
     kind = (
         "CASE WHEN regexp_matches(feature, '(_has_http_url|_has_web_url)$') THEN 'flag' "
         "WHEN regexp_matches(feature, '(_upper_ratio|_digit_ratio)$') THEN 'ratio' ELSE 'count' END"
     )
-    out["feature_kinds"] = with_(*FULL, long_sql(FEATURES)) + (
+    out["feature_kinds"] = with_(*FULL_ALL, long_sql(FEATURES)) + (
         f"SELECT feature, {kind} AS kind, round(avg(CASE WHEN {kind} = 'count' THEN ln(1 + value) ELSE value END), 6) "
         "AS mean_shown FROM long GROUP BY feature"
     )
     out["source_summary"] = with_(RAW_NULLS) + (
-        "SELECT Source, count(*) AS rows, 4 AS cols, count_if(Label = 0) AS ham, count_if(Label = 1) AS spam, "
+        "SELECT Source, count(*) AS rows, (SELECT len(json_keys(to_json(r))) FROM raw r LIMIT 1)::BIGINT AS cols, count_if(Label = 0) AS ham, count_if(Label = 1) AS spam, "
         "round(avg(Label), 6) AS spam_rate, count_if(Body IS NULL) AS missing_body, "
         "count(*) - count(DISTINCT concat(coalesce(Body, '<none>'), '|', Label)) AS duplicate_rows FROM raw GROUP BY Source"
     )
@@ -296,7 +302,7 @@ def oracle_sql() -> dict[str, str]:
         "SELECT Source, count(*) AS rows, count_if(Label = 0) AS count_0, count_if(Label = 1) AS count_1, "
         "round(avg((Label = 0)::INT), 6) AS share_0, round(avg((Label = 1)::INT), 6) AS share_1 FROM raw GROUP BY Source"
     )
-    out["subject_prefix_rate"] = with_(RAW_NULLS) + (
+    out["subject_prefix_rate"] = with_(RAW_ALL_NULLS) + (
         "SELECT Source, round(avg(regexp_matches(Body, '^(?i)subject:')::INT), 6) AS any_case, "
         "round(avg(regexp_matches(Body, '^Subject:')::INT), 6) AS exact_case FROM raw GROUP BY Source"
     )
@@ -383,7 +389,7 @@ inside AS (
     out["class_weights"] = with_(RAW) + (
         "SELECT Source, row_id, Label, round((count(*) OVER ()) / (2.0 * count(*) OVER (PARTITION BY Label)), 6) AS weight FROM raw"
     )
-    out["scaled_features"] = with_(*FULL) + "SELECT Source, row_id, " + ", ".join(
+    out["scaled_features"] = with_(*FULL_ALL) + "SELECT Source, row_id, " + ", ".join(
         f"round(({c}::DOUBLE - avg({c}::DOUBLE) OVER ()) / coalesce(nullif(stddev_pop({c}::DOUBLE) OVER (), 0), 1), 6) AS {c}"
         for c in P.SCALED
     ) + " FROM featured"
@@ -391,9 +397,9 @@ inside AS (
         f"WITH w AS (SELECT doc_id, list_transform(regexp_extract_all(text, '[^{BLANK_CLASS}]+'), lambda x: length(x)) AS a FROM documents) "
         f"SELECT doc_id, array_to_string(list_transform(range(1, {P.PAD} + 1), lambda i: coalesce(a[i], 0)), ' ') AS ids FROM w"
     )
-    out["word_tfidf"] = with_(*BASE, TEXTS, "docs AS (SELECT row_id AS doc, text FROM texts)", tfidf_sql("docs"), """idf AS (
+    out["word_tfidf"] = with_(*BASE_ALL, TEXTS, "docs AS (SELECT {'s': Source, 'r': row_id} AS doc, text FROM texts)", tfidf_sql("docs"), """idf AS (
   SELECT term, count(*) AS df, ln((1.0 + (SELECT count(*) FROM docs)) / (1.0 + count(*))) + 1 AS idf FROM terms GROUP BY term)""") + (
-        "SELECT doc AS row_id, term, tf, df, round(idf, 6) AS idf, "
+        "SELECT doc.s AS Source, doc.r AS row_id, term, tf, df, round(idf, 6) AS idf, "
         "round(tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc)), 6) AS weight FROM terms JOIN idf USING (term)"
     )
     out["naive_bayes_scores"] = with_(*BASE, TEXTS, BAYES_DOCS, bayes_sql()) + (
@@ -463,6 +469,17 @@ SELECT Source, class, round(precision, 6) AS precision, round(recall, 6) AS reca
     )
     spaced = "SELECT doc_id, CASE WHEN text = '' OR text[1] = ' ' THEN text ELSE ' ' || text END AS text FROM documents"
     out["bpe_decode"] = spaced
+    out["bpe_encode"] = f"SELECT doc_id, strlen(text)::BIGINT AS n_bytes FROM ({spaced})"
+    held = with_(*BASE, TEXTS, CLEAN, train)
+    out["registry_roundtrip"] = held + "SELECT Source, row_id, true AS same FROM split_rows WHERE split = 'test'"
+    out["cached_train"] = held + (
+        "SELECT a AS attempt, a = 2 AS reused, Source, row_id, true AS same FROM split_rows, (VALUES (1), (2)) v(a) WHERE split = 'test'"
+    )
+    out["train_report"] = held + (
+        "SELECT 'classic train' AS operation, count_if(split = 'train') AS train_rows, count_if(split = 'test') AS test_rows, "
+        "count_if(split = 'test') AS judged FROM split_rows"
+    )
+    out["stream_score"] = "SELECT concat_ws('-', conv_id, turn) AS msg_id, true AS same FROM conversations"
     out["bpe_roundtrip"] = spaced
     # No look-ahead in this dialect: a mark splits off the last blank of a run before a non-blank.
     white = r"\x{9}-\x{d} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"

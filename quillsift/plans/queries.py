@@ -36,8 +36,8 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def featured_messages(spark: SparkSession, folder: str) -> DataFrame:
-    return ft.build_dataset(tables.raw_messages(spark, folder))
+def featured_messages(spark: SparkSession, folder: str, labelled: bool = True) -> DataFrame:
+    return ft.build_dataset(tables.raw_messages(spark, folder, labelled))
 
 
 # Sources and cleaning
@@ -57,7 +57,7 @@ def csv_roundtrip(spark, folder):
 
 @query
 def prep_messages(spark, folder):
-    return pr.prepare(tables.raw_messages_nulls(spark, folder))
+    return pr.prepare(tables.raw_messages_nulls(spark, folder, labelled=False))
 
 
 @query
@@ -69,18 +69,18 @@ def normalise_separators(spark, folder):
 
 @query
 def build_dataset(spark, folder):
-    return featured_messages(spark, folder)
+    return featured_messages(spark, folder, labelled=False)
 
 
 @query
 def dedup_first(spark, folder):
-    texts = pr.with_text(pr.prepare(tables.raw_messages(spark, folder)))
+    texts = pr.with_text(pr.prepare(tables.raw_messages(spark, folder, labelled=False)))
     return pr.first_of_each(texts).select(*KEY, "Label", "text")
 
 
 @query
 def dedup_within_source(spark, folder):
-    texts = pr.with_text(pr.prepare(tables.raw_messages(spark, folder)))
+    texts = pr.with_text(pr.prepare(tables.raw_messages(spark, folder, labelled=False)))
     return pr.first_of_each(texts, by=["Source"]).select(*KEY, "Label", "text")
 
 
@@ -98,7 +98,7 @@ def varying_features(spark, folder):
 
 @query
 def constant_features(spark, folder):
-    return ft.spread(featured_messages(spark, folder), ft.FEATURES).where("one_value").select("feature")
+    return ft.spread(featured_messages(spark, folder, labelled=False), ft.FEATURES).where("one_value").select("feature")
 
 
 @query
@@ -124,7 +124,7 @@ def score_projection(spark, folder):
 
 @query
 def message_features(spark, folder):
-    return featured_messages(spark, folder).select(*KEY, *ft.FEATURES)
+    return featured_messages(spark, folder, labelled=False).select(*KEY, *ft.FEATURES)
 
 
 @query
@@ -135,22 +135,27 @@ def page_features(spark, folder):
 
 @query
 def feature_summary(spark, folder):
-    names = ft.spread(featured_messages(spark, folder), ft.FEATURES).where("varies")
-    return ft.feature_summary(names).withColumn("list", F.array_join("list", ","))
+    featured = featured_messages(spark, folder)
+    names = [c for c in featured.columns if c not in (*KEY, "Subject", "Body", "Label")]
+    return ft.feature_summary(spark.createDataFrame([(c,) for c in names], "feature string")).withColumn("list", F.array_join("list", ","))
 
 
 @query
 def feature_kinds(spark, folder):
-    long = ft.long_form(featured_messages(spark, folder), ["row_id"], ft.FEATURES)
+    """One wide aggregate with both means of each feature; its single row is then turned."""
+    featured = featured_messages(spark, folder, labelled=False)
+    plain = {c: F.col(c).cast("double") for c in ft.FEATURES}
+    row = featured.agg(*[F.struct(F.avg(v).alias("plain"), F.avg(F.log1p(v)).alias("logged")).alias(c) for c, v in plain.items()])
+    long = row.unpivot([], ft.FEATURES, "feature", "means")
     kind = ft.feature_kind(F.col("feature"))
-    shown = F.when(kind == "count", F.log1p("value")).otherwise(F.col("value"))
-    return long.groupBy("feature", kind.alias("kind")).agg(F.round(F.avg(shown), 6).alias("mean_shown"))
+    shown = F.when(kind == "count", F.col("means.logged")).otherwise(F.col("means.plain"))
+    return long.select("feature", kind.alias("kind"), F.round(shown, 6).alias("mean_shown"))
 
 
 @query
 def source_summary(spark, folder):
     raw = tables.raw_messages_nulls(spark, folder)
-    return rounded(pf.source_summary(raw.select("Source", "Body", "Label"), ["Source", "Body", "Label"]), "spam_rate").withColumn("cols", F.lit(4))
+    return rounded(pf.source_summary(raw, ["Source", "Body", "Label"]), "spam_rate")
 
 
 @query
@@ -182,7 +187,7 @@ def label_mix_pivot(spark, folder):
 
 @query
 def subject_prefix_rate(spark, folder):
-    return rounded(pf.subject_prefix_rate(tables.raw_messages_nulls(spark, folder)), "any_case", "exact_case")
+    return rounded(pf.subject_prefix_rate(tables.raw_messages_nulls(spark, folder, labelled=False)), "any_case", "exact_case")
 
 
 @query
@@ -294,15 +299,15 @@ def pad_truncate(spark, folder):
 
 @query
 def word_tfidf(spark, folder):
-    texts = pr.with_text(pr.prepare(tables.raw_messages(spark, folder))).select("row_id", "text")
-    terms = written(vc.word_terms(texts, ["row_id"]), "terms")
+    texts = pr.with_text(pr.prepare(tables.raw_messages(spark, folder, labelled=False))).select(*KEY, "text")
+    terms = written(vc.word_terms(texts, KEY), "terms")
     idf = vc.term_idf(terms, texts.count())
-    return rounded(vc.tfidf(terms, idf, ["row_id"]), "idf", "weight")
+    return rounded(vc.tfidf(terms, idf, KEY), "idf", "weight")
 
 
 @query
 def scaled_features(spark, folder):
-    featured = featured_messages(spark, folder).select(*KEY, *P.SCALED)
+    featured = featured_messages(spark, folder, labelled=False).select(*KEY, *P.SCALED)
     return rounded(vc.with_scaled(featured, P.SCALED), *P.SCALED)
 
 
@@ -464,8 +469,12 @@ def bpe_train(spark, folder):
 
 @query
 def bpe_encode(spark, folder):
-    ids = sw.encode(F.col("text"), document_subwords(spark, folder))
-    return documents(spark, folder).select("doc_id", ids.alias("ids"))
+    """Bytes of all tokens of each document: those of its text with a leading blank."""
+    model = document_subwords(spark, folder)
+    sizes = F.array(*[F.lit(n) for n in model.token_sizes()])
+    ids = sw.encode(F.col("text"), model)
+    lengths = F.transform(ids, lambda i: F.element_at(sizes, i + 1))
+    return documents(spark, folder).select("doc_id", F.aggregate(lengths, F.lit(0).cast("long"), lambda n, x: n + x).alias("n_bytes"))
 
 
 @query
@@ -497,13 +506,20 @@ def subword_lengths(spark, folder):
 @query
 def subword_tfidf(spark, folder):
     table, _, _ = training(spark, folder)
-    stages = vc.tfidf_stages(table, table.count(), (1, 1), 200)
+    stages = vc.tfidf_stages(table, table.count(), (1, 1), None)
     return PipelineModel(stages).transform(table).select(*KEY, vector_to_array("tfidf").alias("weights"))
 
 
 # Trained models
 
 
+def _same(scores: DataFrame, direct: DataFrame, keep: list[str], on: list[str]) -> DataFrame:
+    """(keep, same): is the probability that of the directly scored row?"""
+    known = direct.select(*on, F.col("spam_probability").alias("direct"))
+    near = F.abs(F.col("spam_probability") - F.col("direct")) < 1e-9
+    return scores.join(known, on, "left").select(*keep, F.coalesce(near, F.lit(False)).alias("same"))
+
+
 @query
 def logistic_scores(spark, folder):
     _, test, _ = experiment(spark, folder)
@@ -533,8 +549,10 @@ def neural_scores(spark, folder):
 @query
 def train_report(spark, folder):
     raw = tables.raw_messages(spark, folder)
+    """Rows trained and judged; the record itself is in the run folder."""
     _, record = classic_train(raw, new_path(spark, "train"), "classic_baseline", P.VOCAB, max_iter=P.MAX_ITER)
-    return record
+    judged = F.aggregate(F.flatten("metrics.confusion_matrix"), F.lit(0).cast("long"), lambda n, x: n + x)
+    return record.select("operation", "input_data.train_rows", "input_data.test_rows", judged.alias("judged"))
 
 
 @query
@@ -551,9 +569,9 @@ def cached_train(spark, folder):
     parts = []
     for attempt in (1, 2):
         model, reused = registry.cached_model(spark, store, "classic", "classic", key, train)
-        scored = model.score(test, [*KEY]).withColumn("spam_probability", F.round("spam_probability", 6))
+        scored = model.score(test, [*KEY])
         parts.append(scored.select(F.lit(attempt).alias("attempt"), F.lit(reused).alias("reused"), "*"))
-    return parts[0].unionByName(parts[1])
+    return _same(parts[0].unionByName(parts[1]), parts[0], ["attempt", "reused", *KEY], KEY)
 
 
 @query
@@ -562,7 +580,7 @@ def registry_roundtrip(spark, folder):
     registry.register(spark, store, "classic", "classic", classic(spark, folder))
     model = registry.load_model(spark, store, "classic")
     _, test, _ = experiment(spark, folder)
-    return model.score(test, [*KEY])
+    return _same(model.score(test, [*KEY]), classic(spark, folder).score(test, [*KEY]), KEY, KEY)
 
 
 # Runs
@@ -612,7 +630,8 @@ def batch_score(spark, folder):
 @query
 def stream_score(spark, folder):
     messages = tables.as_messages(st.table_stream(spark, folder, "conversations"))
-    return st.drain(st.score_stream(messages, classic(spark, folder), ["msg_id"]), "scores")
+    streamed = st.drain(st.score_stream(messages, classic(spark, folder), ["msg_id"]), "scores")
+    return _same(streamed, batch_score(spark, folder), ["msg_id"], ["msg_id"])
 
 
 @query

@@ -20,6 +20,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quillsift-"))
+        .config("spark.quillsift.spread", cores)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -29,7 +32,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Where it is unset, only a local master gets a temporary folder, the same for the whole session.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -38,6 +41,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="quillsift-")
+        spark.conf.set("spark.checkpoint.dir", folder)
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -36,4 +36,6 @@ def latest_summary(spark: SparkSession, folder: str, tag: str) -> DataFrame:
     pattern = f"{folder}/{tag}-[0-9]*/summary.csv"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
     newest = files.agg(F.max("path").alias("path")).first()["path"]
+    if newest is None:
+        raise LookupError(f"no run of {tag} in {folder}")
     return spark.read.schema(SUMMARY_SCHEMA).option("header", True).csv(newest)

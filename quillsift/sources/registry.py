@@ -7,6 +7,7 @@ import json
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,8 +70,13 @@ def load_model(spark: SparkSession, registry: str, name: str, key: dict | None =
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    try:
+        spark.read.schema(REGISTRY_SCHEMA).parquet(path).schema  # noqa: B018  analysis fails without the path
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def cached_model(

@@ -8,22 +8,25 @@ from pyspark.sql import functions as F
 
 # Tables whose texts are costly to process, with the key that spreads them.
 TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+SPREAD = "spark.quillsift.spread"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A parquet table; a text table in fewer splits than there are cores is spread by its key.
+    """A parquet table, read as it is.
 
-    Large tables come in many splits and are read as they are, without a shuffle.
+    One-file tables of a single machine have one split. There, and only if the session asks for it by
+    ``spark.quillsift.spread``, text tables are dealt to that many partitions.
     """
     rows = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in TEXT_KEYS and rows.rdd.getNumPartitions() < cores:
-        return rows.repartition(cores, TEXT_KEYS[name])
-    return rows
+    parts = spark.conf.get(SPREAD, None)
+    return rows.repartition(int(parts), TEXT_KEYS[name]) if parts and name in TEXT_KEYS else rows
 
 
-def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents as raw messages; a third each with 'Subject: ', 'SUBJECT:', no prefix."""
+def raw_messages(spark: SparkSession, folder: str, labelled: bool = True) -> DataFrame:
+    """Documents as raw messages; a third each with 'Subject: ', 'SUBJECT:', no prefix.
+
+    Without ``labelled`` all documents are there, their label null where there is none.
+    """
     documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
     labels = table(spark, folder, "labels").select("doc_id", "toxic")
     turn = F.col("doc_id") % 3
@@ -32,7 +35,7 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
         .when(turn == 1, F.concat(F.lit("SUBJECT:"), F.col("text")))
         .otherwise(F.col("text"))
     )
-    return documents.join(labels, "doc_id").select(
+    return documents.join(labels, "doc_id", "inner" if labelled else "left").select(
         F.col("lang").alias("Source"),
         F.col("doc_id").alias("row_id"),
         body.alias("Body"),
@@ -40,10 +43,10 @@ def raw_messages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def raw_messages_nulls(spark: SparkSession, folder: str) -> DataFrame:
+def raw_messages_nulls(spark: SparkSession, folder: str, labelled: bool = True) -> DataFrame:
     """The same messages, some of them with a missing body."""
     missing = F.col("row_id") % 50 == 7
-    return raw_messages(spark, folder).withColumn("Body", F.when(~missing, F.col("Body")))
+    return raw_messages(spark, folder, labelled).withColumn("Body", F.when(~missing, F.col("Body")))
 
 
 def request_log(spark: SparkSession, folder: str) -> DataFrame:
