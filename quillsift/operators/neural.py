@@ -17,6 +17,9 @@ from quillsift.operators.subword import Subwords
 from quillsift.operators.vectors import scaler_stages
 
 
+WHOLE = 1_000_000_000
+
+
 def fit_neural(
     table: DataFrame,
     subwords: Subwords,
@@ -24,12 +27,15 @@ def fit_neural(
     embedding_dim: int = 64,
     dense_units: int = 32,
     max_iter: int = 15,
-    partitions: int = 1,
+    rows_per_part: int = 20_000,
     seed: int = 42,
 ) -> TextModel:
-    """Fit on a training table; the embedding table is bounded by the vocabulary size."""
+    """Fit on a training table; the embedding table is bounded by the vocabulary size.
+
+    The embedding is trained in as many parts as the rows ask for, on whole messages.
+    """
     embedding = Word2Vec(
-        vectorSize=embedding_dim, minCount=0, seed=seed, numPartitions=partitions, maxSentenceLength=10_000,
+        vectorSize=embedding_dim, minCount=0, seed=seed, numPartitions=1 + table.count() // rows_per_part, maxSentenceLength=WHOLE,
         inputCol="tokens", outputCol="embedded",
     ).fit(table)
     numeric = scaler_stages(table, features) if features else []

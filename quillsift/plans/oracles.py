@@ -220,6 +220,7 @@ def oracle_sql() -> dict[str, str]:
     out: dict[str, str] = {}
     out["raw_messages"] = with_(RAW) + "SELECT * FROM raw"
     out["csv_roundtrip"] = with_(RAW) + "SELECT Source, Body, Label FROM raw"
+    out["csv_named"] = out["csv_roundtrip"]
     out["prep_messages"] = with_(RAW_ALL_NULLS, PREP) + "SELECT * FROM prep"
     injected = "concat(" + ", ".join(
         ["text"] + [f"chr({ord(c)}), 'x'" for c in P.INJECTED]
@@ -449,6 +450,7 @@ SELECT Source, class, round(precision, 6) AS precision, round(recall, 6) AS reca
         f"SELECT users, batch_size, requests, failures, {rounded('rps', 'median_ms', 'p95_ms', 'p99_ms')} FROM summary"
     )
     cells = ", ".join(f"round(max(rps) FILTER (users = {u}), 6) AS u{u}" for u in P.USERS)
+    out["loadtest_summary"] = out["request_summary"]
     out["request_pivot"] = with_(REQUESTS, REQUEST_SUMMARY) + f"SELECT batch_size, {cells} FROM summary GROUP BY batch_size"
     out["request_peak"] = with_(REQUESTS, REQUEST_SUMMARY) + (
         "SELECT batch_size, users, round(rps, 6) AS rps FROM summary ORDER BY summary.rps DESC, batch_size, users LIMIT 1"
@@ -495,6 +497,7 @@ SELECT Source, class, round(precision, 6) AS precision, round(recall, 6) AS reca
     )
     out["run_records"] = ruled + (
         f"SELECT Source AS run, 'classic rule' AS operation, {rates}, {P.THRESHOLD}::DOUBLE AS threshold, "
-        "concat_ws(' ', tn, fp, fn, tp) AS confusion FROM metrics"
+        "concat_ws(' ', tn, fp, fn, tp) AS confusion, round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS spam_f1, "
+        "(tp + fn)::BIGINT AS spam_support FROM metrics"
     )
     return out

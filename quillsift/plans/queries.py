@@ -20,7 +20,7 @@ from quillsift.operators.search import random_search as search
 from quillsift.plans import settings as P
 from quillsift.plans.experiment import classic_train, prepare_experiment
 from quillsift.session import new_path, written
-from quillsift.sources import csv_source, registry, tables
+from quillsift.sources import csv_source, loadtest, registry, tables
 from quillsift.streaming import streams as st
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,16 @@ def csv_roundtrip(spark, folder):
     return csv_source.read_by_source(spark, path)
 
 
+@query
+def csv_named(spark, folder):
+    """One folder of CSV files per source, read by name."""
+    path = new_path(spark, "csv")
+    raw = tables.raw_messages(spark, folder)
+    csv_source.write_by_source(raw, path)
+    names = [r["Source"] for r in raw.select("Source").distinct().collect()]
+    return csv_source.read_named(spark, {n: f"{path}/Source={n}" for n in names}).drop("row_id")
+
+
 @query
 def prep_messages(spark, folder):
     return pr.prepare(tables.raw_messages_nulls(spark, folder, labelled=False))
@@ -398,6 +408,16 @@ def request_summary(spark, folder):
     return rounded(requests(spark, folder), "rps", "median_ms", "p95_ms", "p99_ms")
 
 
+@query
+def loadtest_summary(spark, folder):
+    """The newest summary file of a sweep, as written."""
+    path = new_path(spark, "sweeps")
+    summary = rounded(requests(spark, folder), "rps", "median_ms", "p95_ms", "p99_ms")
+    for stamp, rows in (("1", summary.where("users = 1")), ("2", summary)):
+        loadtest.write_summary(rows, f"{path}/sweep-{stamp}/summary.csv")
+    return loadtest.latest_summary(spark, path, "sweep")
+
+
 @query
 def request_pivot(spark, folder):
     return rounded(rl.request_pivot(requests(spark, folder), P.USERS), *[f"u{u}" for u in P.USERS])
@@ -606,7 +626,9 @@ def run_records(spark, folder):
     registry.save_runs(rule_runs(spark, folder), path)
     runs = spark.read.schema(registry.RUN_SCHEMA).json(path).select("run", "operation", "metrics.*")
     cells = F.array_join(F.flatten("confusion_matrix").cast("array<string>"), " ")
-    return rounded(runs.withColumn("confusion", cells).drop("confusion_matrix"), *ev.METRICS)
+    spam = F.element_at("classification_report", 2)
+    runs = runs.withColumns({"confusion": cells, "spam_f1": spam["f1"], "spam_support": spam["support"]})
+    return rounded(runs.drop("confusion_matrix", "classification_report"), *ev.METRICS, "spam_f1")
 
 
 @query

@@ -24,7 +24,8 @@ RUN_SCHEMA = (
     "input_data struct<train_rows: bigint, test_rows: bigint, num_features: bigint>, "
     "hyperparameters map<string, string>, best_params map<string, string>, best_cv_f1 double, "
     "metrics struct<precision: double, recall: double, f1: double, roc_auc: double, threshold: double, "
-    "confusion_matrix: array<array<bigint>>>, timestamp string"
+    "confusion_matrix: array<array<bigint>>, classification_report: array<struct<label: int, precision: double, "
+    "recall: double, f1: double, support: bigint>>>, search_space string, cv_folds int, timestamp string"
 )
 
 
