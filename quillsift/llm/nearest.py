@@ -217,10 +217,14 @@ def searched(tasks: DataFrame, k: int, factor: float, norm: float) -> DataFrame:
 
 
 def _tasks(points: DataFrame, visits: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Points once for each block of queries that visits their cell, queries once for each block of points."""
+    """Points once for each block of queries that visits their cell, queries once for each block of points.
+
+    The broadcast table has one row per cell, fewer than the upper tree's sample has vectors.
+    """
     parts = visits.groupBy("cell").agg(F.count("*").alias("asked")).join(sizes, "cell").select(
         "cell", F.ceil(F.col("n") / BLOCK).cast("long").alias("blocks"), F.ceil(F.col("asked") / QUERY_BLOCK).cast("long").alias("parts")
     )
+    parts = F.broadcast(parts)
     code = F.xxhash64("vec_id")
     held = points.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).select(
         "cell", F.pmod(code, F.col("blocks")).alias("block"), "part", F.lit(False).alias("is_query"), "vec_id", "v", F.lit(-math.inf).alias("bound")
