@@ -38,7 +38,8 @@ SAMPLE = 20_000
 CELL = 4096
 BLOCK = 8192
 QUERY_BLOCK = 2048
-LEAF = 64
+LEAF = 128
+ROUNDING = 1e-12
 FOUND = "query_id long, vec_id long, score double"
 
 
@@ -137,28 +138,47 @@ class Tree:
         self.low = np.array([points[rows].min(axis=0) for rows in order])
         self.high = np.array([points[rows].max(axis=0) for rows in order])
 
-    def nearest(self, ids: np.ndarray, vectors: np.ndarray, query: np.ndarray, place: np.ndarray, own: int, k: int, factor: float, norm: float, bound: float):
-        """Up to k (id, score) of this block; leaves by projected distance until the test holds.
+    def distances(self, places: np.ndarray) -> np.ndarray:
+        """(places, leaves): squared distance to each leaf's box."""
+        out = np.zeros((len(places), len(self.low)))
+        for d in range(places.shape[1]):
+            at = places[:, d, None]
+            out += np.maximum(np.maximum(self.low[None, :, d] - at, at - self.high[None, :, d]), 0) ** 2
+        return out
+
+
+class Block:
+    """Rows of one block in the order of its tree's leaves."""
 
-        ``bound`` is the k-th best score known from elsewhere, or -inf.
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, norm: float):
+        self.tree = Tree(projected(vectors, norm, False))
+        self.ids, self.vectors, self.norm = ids[self.tree.order], vectors[self.tree.order], norm
+
+    def nearest(self, query: np.ndarray, far: np.ndarray, own: int, k: int, factor: float, bound: float) -> tuple[np.ndarray, np.ndarray]:
+        """Up to k (ids, scores); leaves by projected distance until the test holds.
+
+        ``bound`` is the k-th best score known from elsewhere, or -inf. A product of the whole leaf
+        finds the rows that can matter, within rounding; their scores are then summed row by row, so
+        that equal vectors have equal scores.
         """
-        outside = np.maximum(np.maximum(self.low - place, place - self.high), 0)
-        far = (outside**2).sum(axis=1)
-        leaves = np.argsort(far, kind="stable")
         length = float(query @ query)
-        best_ids, best = np.zeros(0, dtype=np.int64), np.zeros(0)
-        at, width = 0, 2
-        while at < len(leaves):
-            least = max(bound, best[k - 1] if len(best) >= k else -np.inf)
-            if far[leaves[at]] > factor * max(0.0, norm**2 + length - 2 * least):
+        slack = ROUNDING * self.norm * math.sqrt(length)
+        starts = self.tree.starts
+        best_ids, best, least = np.zeros(0, dtype=np.int64), np.zeros(0), bound
+        for leaf in np.argsort(far, kind="stable").tolist():
+            if far[leaf] > factor * max(0.0, self.norm**2 + length - 2 * least):
                 break
-            rows = np.concatenate([self.order[self.starts[f] : self.starts[f + 1]] for f in leaves[at : at + width]])
-            at, width = at + width, min(2 * width, 32)
-            rows = rows[ids[rows] != own]
-            scores = np.concatenate([best, (vectors[rows] * query).sum(axis=1)])
-            names = np.concatenate([best_ids, ids[rows]])
+            begin, end = starts[leaf], starts[leaf + 1]
+            rows = begin + np.flatnonzero(self.vectors[begin:end] @ query >= least - slack)
+            rows = rows[self.ids[rows] != own]
+            if not len(rows):
+                continue
+            scores = np.concatenate([best, (self.vectors[rows] * query).sum(axis=1)])
+            names = np.concatenate([best_ids, self.ids[rows]])
             pick = np.lexsort((names, -scores))[:k]
             best_ids, best = names[pick], scores[pick]
+            if len(best) >= k:
+                least = max(bound, float(best[k - 1]))
         return best_ids, best
 
 
@@ -199,13 +219,12 @@ def searched(tasks: DataFrame, k: int, factor: float, norm: float) -> DataFrame:
             bounds = group.column("bound").to_numpy()
             if asks.all() or not asks.any():
                 continue
-            points, names = vectors[~asks], ids[~asks]
-            tree = Tree(projected(points, norm, False))
+            block = Block(ids[~asks], vectors[~asks], norm)
             queries = vectors[asks]
-            places = projected(queries, norm, True)
+            far = block.tree.distances(projected(queries, norm, True))
             out: list[list] = [[], [], []]
-            for query, place, own, bound in zip(queries, places, ids[asks].tolist(), bounds[asks].tolist()):
-                near, scores = tree.nearest(names, points, query, place, own, k, factor, norm, bound)
+            for query, row, own, bound in zip(queries, far, ids[asks].tolist(), bounds[asks].tolist()):
+                near, scores = block.nearest(query, row, own, k, factor, bound)
                 out[0].append(np.full(len(near), own))
                 out[1].append(near)
                 out[2].append(scores)
