@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from quillsift.operators import bayes, linear as ln, search, subword as sw, vectors as vc
@@ -189,3 +190,15 @@ def test_stream_keeps_first_arrivals(spark, tmp_path):
     firsts = st.drain(st.first_arrivals(arriving, "text", "msg_id"), "firsts")
     texts = [r["text"] for r in firsts.collect()]
     assert sorted(texts) == sorted({t for _, t in rows})
+
+
+def test_regression_reaches_the_optimum(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(300, 4)) * [1.0, 0.05, 3.0, 0.4]
+    y = (x @ [1.0, 8.0, -0.4, 0.0] + rng.normal(size=300) > 0.8).astype(float)
+    w = np.where(y == 1, 2.0, 0.7)
+    rows = [(float(a), float(b), Vectors.dense(c)) for a, b, c in zip(y, w, x)]
+    model = ln.regression(3.0, len(rows)).fit(spark.createDataFrame(rows, ["Label", "weight", "features"]))
+    beta = model.coefficients.toArray()
+    error = w * (1 / (1 + np.exp(-(x @ beta + model.intercept))) - y) / w.sum()
+    assert np.abs(x.T @ error + beta / (3.0 * len(rows))).max() < 1e-4 and abs(error.sum()) < 1e-4

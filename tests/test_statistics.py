@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillsift.operators import evaluate as ev, order_stats as os_, profile as pf, split as sp
+from quillsift.session import cut
 
 
 def test_quantiles_match_numpy(spark):
@@ -130,3 +131,11 @@ def test_coverage(spark):
     df = spark.createDataFrame([(1,), (5,), (9,), (10,)], "words int")
     got = {r["candidate"]: (r["covered"], r["truncated"]) for r in pf.length_coverage(df, "words", [0, 5, 10]).collect()}
     assert got == {0: (0.0, 100.0), 5: (50.0, 50.0), 10: (100.0, 0.0)}
+
+
+def test_quantiles_of_a_million_distinct_values_in_one_group(spark):
+    n = 2_000_001
+    counts = cut(spark.range(n).select(F.lit("g").alias("g"), (F.col("id") * 0.5).alias("v"), F.lit(1).cast("long").alias("n")))
+    assert os_.sliced(counts, ["g"], "v").agg(F.max("slice")).first()[0] + 1 == max(os_.LEAST_SLICES, n // os_.ROWS_PER_SLICE)
+    row = os_.quantiles(counts, ["g"], "v", "n", [0.25, 0.5]).first()
+    assert row["rows"] == n and row["quantiles"] == [250_000.0, 500_000.0]
