@@ -1,17 +1,21 @@
 """Byte-level sub-word vocabulary: learn merges on word counts, encode, decode.
 
-While merges are learned a word is a string with one character per symbol, so
-the built-in string functions do the work: a merge is ``replace`` of two
-characters by one, and neighbouring pairs come from one look-ahead expression.
+While merges are learned a word is a string with one character per symbol: a
+merge is ``replace`` of two characters by one, and tasks sum the counts of
+neighbouring pairs over their words before anything is shuffled.
 """
 
 from __future__ import annotations
 
+import heapq
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache, reduce
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -22,10 +26,12 @@ from quillsift.session import cut
 SPECIALS = ["[PAD]", "[UNK]"]
 PRETOKEN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-PAIR = r"(?s)(?=([^\x{D800}-\x{DFFF}]{2}))"
 FIRST_SYMBOL = 0x100
 ROUND_PAIRS = 256
-PENDING_MERGES = 24
+GUESSED_WORDS = 250_000
+FIRST_WINDOW, LARGEST_WINDOW = 64, 1024
+PENDING_MERGES = 2_000
+TOTALS_AT_ONCE = 200_000
 CACHED_WORDS = 1 << 17
 
 
@@ -102,45 +108,225 @@ def as_symbols(word: Column) -> Column:
     return F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), LATIN, BYTE_SYMBOLS)
 
 
+def _pairs(line: str) -> list[str]:
+    return [line[i : i + 2] for i in range(len(line) - 1)]
+
+
+def _schedule(merges: list[tuple[int, int, int]]) -> dict[str, list[tuple[int, str]]]:
+    """Pair of symbols to its steps, each with the merged symbol; a pair may come again later."""
+    steps: dict[str, list[tuple[int, str]]] = {}
+    for step, (left, right, merged) in enumerate(merges):
+        steps.setdefault(symbol(left) + symbol(right), []).append((step, symbol(merged)))
+    return steps
+
+
+def _states(line: str, schedule: dict[str, list[tuple[int, str]]]) -> Iterator[tuple[int, str]]:
+    """(step, word after it) for the steps that change a word, in order; merges that don't occur cost nothing."""
+    after = -1
+    while True:
+        due = [(step, pair, merged) for pair in {*_pairs(line)} for step, merged in schedule.get(pair, ()) if step > after]
+        if not due:
+            return
+        after, pair, merged = min(due)
+        line = line.replace(pair, merged)
+        yield after, line
+
+
 def _merged(words: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
-    word = reduce(
-        lambda w, m: F.replace(w, F.lit(symbol(m[0]) + symbol(m[1])), F.lit(symbol(m[2]))),
-        merges,
-        F.col("word"),
-    )
-    return words.select(word.alias("word"), "n").where(F.char_length("word") > 1)
-
-
-def _independent(ranked: list, tokens: list[str], known: dict[str, int], room: int) -> list[tuple[int, int, int]]:
-    """Longest run of best pairs that one-at-a-time merging would take in the same order.
-
-    Merging (a, b) uses up an a only before a b, and a b only after an a. So it
-    changes the counts of pairs that end in a or start with b, and of no others.
-    Each new pair lies on top of such a pair and is not more frequent, and its
-    new id loses every tie. The run therefore ends before the first pair that
-    ends in an earlier left symbol or starts with an earlier right one. It also
-    ends after a doubled symbol, whose new pairs lie on top of the pair itself,
-    and after a merge whose text is a token already.
+    """The words after the merges; those of one symbol have no pair left and go."""
+    schedule = _schedule(merges)
+
+    def applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = [deque([(0, w), *_states(w, schedule)], maxlen=1)[0][1] for w in batch.column("word").to_pylist()]
+            changed = pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), batch.column("n")], ["word", "n"])
+            yield changed.filter(pa.array([len(line) > 1 for line in lines], pa.bool_()))
+
+    return words.mapInArrow(applied, "word string, n long")
+
+
+def _count_changes(words: DataFrame, pending: list[tuple[int, int, int]], guessed: list[tuple[int, int, int]]) -> DataFrame:
+    """(pair, changes, peak): how the count of every pair moves while the guessed merges are done one by one.
+
+    ``changes`` is a sorted array of (step, n): step 0 holds the count after the pending merges, step k
+    what the k-th guess adds. ``peak`` is the highest count on the way. Each task sums before the shuffle.
+    """
+    schedule, base = _schedule([*pending, *guessed]), len(pending)
+
+    def summed(totals: Counter) -> pa.RecordBatch:
+        keys = list(totals)
+        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([totals[k] for k in keys], pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["pair", "step", "n"])
+
+    def changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals: Counter = Counter()
+        for batch in batches:
+            for line, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+                states = list(_states(line, schedule))
+                for step, later in states:
+                    if step < base:
+                        line = later
+                for pair in _pairs(line):
+                    totals[pair, 0] += n
+                for step, later in states:
+                    if step >= base:
+                        for pair in _pairs(line):
+                            totals[pair, step - base + 1] -= n
+                        for pair in _pairs(later):
+                            totals[pair, step - base + 1] += n
+                        line = later
+                if len(totals) > TOTALS_AT_ONCE:
+                    yield summed(totals)
+                    totals = Counter()
+        yield summed(totals)
+
+    found = words.mapInArrow(changes, "pair string, step int, n long").groupBy("pair", "step").agg(F.sum("n").alias("n"))
+    found = found.where("n <> 0").groupBy("pair").agg(F.array_sort(F.collect_list(F.struct("step", "n"))).alias("changes"))
+    none = F.struct(F.lit(0).cast("long").alias("now"), F.lit(0).cast("long").alias("peak"))
+
+    def add(done: Column, change: Column) -> Column:
+        now = done["now"] + change["n"]
+        return F.struct(now.alias("now"), F.greatest(done["peak"], now).alias("peak"))
+
+    return found.withColumn("peak", F.aggregate("changes", none, add, lambda done: done["peak"]))
+
+
+class Guesser:
+    """Foretells the next merges from a bounded number of frequent words and the last known counts.
+
+    Its guesses decide how many merges one job can confirm, never which merges are taken.
+    """
+
+    def __init__(self, rows: list):
+        self.words = [row["word"] for row in rows]
+        self.n = [row["n"] for row in rows]
+        self.count: Counter = Counter()
+        self.where: dict[str, set[int]] = {}
+        self.journal: list[tuple[str, int, list[tuple[int, str]], dict[str, int]]] = []
+        for i, line in enumerate(self.words):
+            for pair in _pairs(line):
+                self.count[pair] += self.n[i]
+                self.where.setdefault(pair, set()).add(i)
+        self.heap = [(-count, pair) for pair, count in self.count.items()]
+        heapq.heapify(self.heap)
+
+    def learn(self, pair: str, count: int) -> None:
+        if self.count[pair] != count:
+            self.count[pair] = count
+            if count > 0:
+                heapq.heappush(self.heap, (-count, pair))
+
+    def correct(self, counts: dict[str, int], highest: int) -> None:
+        """Takes over known counts; any other pair has ``highest`` at most."""
+        for pair, count in counts.items():
+            self.learn(pair, count)
+        for pair in [pair for pair, count in self.count.items() if count > highest and pair not in counts]:
+            self.learn(pair, highest)
+
+    def merge(self, pair: str, merged: str) -> None:
+        changed, moved = [], {}
+        for i in self.where.get(pair, ()):
+            line, n = self.words[i], self.n[i]
+            if pair in line:
+                self.words[i] = line.replace(pair, merged)
+                changed.append((i, line))
+                for old in _pairs(line):
+                    moved[old] = moved.get(old, 0) - n
+                for new in _pairs(self.words[i]):
+                    moved[new] = moved.get(new, 0) + n
+                    if merged in new:
+                        self.where.setdefault(new, set()).add(i)
+        # These words stand for the others that hold the pair.
+        share = self.count[pair] / max(1, -moved.get(pair, 0))
+        moved = {other: round(by * share) for other, by in moved.items()}
+        self.journal.append((pair, self.count[pair], changed, moved))
+        for other, by in moved.items():
+            self.learn(other, self.count[other] + by)
+        self.learn(pair, 0)
+
+    def back_to(self, steps: int) -> None:
+        """Undoes all but the first ``steps`` merges since the last call, which stay."""
+        while len(self.journal) > steps:
+            pair, count, changed, moved = self.journal.pop()
+            for i, line in changed:
+                self.words[i] = line
+            for other, by in moved.items():
+                self.learn(other, self.count[other] - by)
+            self.learn(pair, count)
+        self.journal = []
+
+    def best(self) -> str | None:
+        while self.heap:
+            count, pair = self.heap[0]
+            if self.count[pair] == -count:
+                return pair
+            heapq.heappop(self.heap)
+        return None
+
+    def ahead(self, steps: int, vocabulary: Vocabulary) -> list[tuple[int, int, int]]:
+        """Does the next merges as far as these words tell."""
+        vocabulary = vocabulary.copy()
+        found: list[tuple[int, int, int]] = []
+        while len(found) < steps and not vocabulary.full():
+            pair = self.best()
+            if pair is None:
+                break
+            found.append(vocabulary.add(pair))
+            self.merge(pair, symbol(found[-1][2]))
+        return found
+
+
+class Vocabulary:
+    """Tokens in id order while merges are learned."""
+
+    def __init__(self, tokens: list[str], size: int):
+        self.tokens, self.size = tokens, size
+        self.known = {token: i for i, token in enumerate(tokens)}
+
+    def copy(self) -> Vocabulary:
+        return Vocabulary(list(self.tokens), self.size)
+
+    def full(self) -> bool:
+        return len(self.tokens) >= self.size
+
+    def add(self, pair: str) -> tuple[int, int, int]:
+        """The merge of a pair; a text that is a token already keeps its id."""
+        left, right = map(symbol_id, pair)
+        text = self.tokens[left] + self.tokens[right]
+        if text not in self.known:
+            self.known[text] = len(self.tokens)
+            self.tokens.append(text)
+        return left, right, self.known[text]
+
+
+def _confirmed(rows: list, complete: bool, guesses: list[str], least: int) -> tuple[list[str], dict[str, int], bool]:
+    """Best pairs of the steps whose best is certain, the counts before the last of them, and whether none is left.
+
+    ``rows`` are the first pairs by peak, then pair. Any other pair has a lower peak than the last row,
+    or the same peak and a later name, so a step is certain if its best beats that. Steps are certain as long as
+    the guess before them was right.
     """
-    chosen: list[tuple[int, int, int]] = []
-    lefts: set[int] = set()
-    rights: set[int] = set()
-    for row in ranked:
-        left, right = map(symbol_id, row["pair"])
-        if room <= 0 or left in rights or right in lefts:
+    names = sorted(range(len(rows)), key=lambda i: rows[i]["pair"])
+    table = np.zeros((len(rows), len(guesses) + 1), dtype=np.int64)
+    for at, i in enumerate(names):
+        for change in rows[i]["changes"]:
+            table[at, change["step"]] += change["n"]
+    table = table.cumsum(axis=1)
+    pairs = [rows[i]["pair"] for i in names]
+    limit = (0, "") if complete else (-rows[-1]["peak"], rows[-1]["pair"])
+    best: list[str] = []
+    for step in range(len(guesses) + 1):
+        top = int(table[:, step].argmax()) if pairs else 0
+        count = int(table[top, step]) if pairs else 0
+        if count < least and (complete or rows[-1]["peak"] < least):
+            return best, {}, True
+        if not complete and (-count, pairs[top]) > limit:
             break
-        text = tokens[left] + tokens[right]
-        again = text in known
-        if not again:
-            known[text] = len(tokens)
-            tokens.append(text)
-            room -= 1
-        chosen.append((left, right, known[text]))
-        lefts.add(left)
-        rights.add(right)
-        if again or left == right:
+        best.append(pairs[top])
+        if step == len(guesses) or guesses[step] != best[-1]:
             break
-    return chosen
+    column = max(0, len(best) - 1)
+    return best, dict(zip(pairs, table[:, column].tolist())), False
 
 
 def learn(
@@ -148,40 +334,46 @@ def learn(
 ) -> Subwords:
     """Learn byte-pair merges: highest count first, then lowest left id, then lowest right id.
 
-    Each round counts the pairs of all distinct words in one job and takes every
-    pair that is safe to merge at once. Only the best pairs of a round reach the
-    driver. The word table is written out again every few rounds, with the
-    merges so far applied, which also drops the words that are one symbol.
+    Merges depend on each other, so one job for each would be needed. Here the next merges are guessed
+    from a bounded number of frequent words, and one job does them on all words and reports how the
+    counts of all pairs move step by step. The longest run of right guesses is taken, and the true best
+    pair after it. All merges taken follow from counts over all words; wrong guesses cost jobs only.
+    The word table is written anew after every ``PENDING_MERGES`` merges.
     """
-    tokens = [*SPECIALS, *BYTE_TOKENS]
-    known = {token: i for i, token in enumerate(tokens)}
+    vocabulary = Vocabulary([*SPECIALS, *BYTE_TOKENS], vocab_size)
     merges: list[tuple[int, int, int]] = []
     counted = pretoken_counts(texts, column).select(as_symbols(F.col("word")).alias("word"), "n")
     spark = texts.sparkSession
     # A fixed number of partitions: a small word table would be merged into one task.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     words = cut(counted.where(F.char_length("word") > 1).repartition(parts, "word"))
+    guesser = Guesser(words.orderBy(F.desc("n"), F.xxhash64("word")).limit(GUESSED_WORDS).collect())
+    least = max(1, min_frequency)
     pending: list[tuple[int, int, int]] = []
-    while len(tokens) < vocab_size:
+    window = FIRST_WINDOW
+    while not vocabulary.full():
         if len(pending) >= PENDING_MERGES:
             words, pending = cut(_merged(words, pending)), []
-        pairs = _merged(words, pending).select(
-            F.explode(F.regexp_extract_all("word", F.lit(PAIR), F.lit(1))).alias("pair"), "n"
-        )
-        ranked = (
-            pairs.groupBy("pair")
-            .agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= max(1, min_frequency))
-            .orderBy(F.desc("n"), "pair")
-            .limit(ROUND_PAIRS)
-            .collect()
-        )
-        if not ranked:
+        guesses = guesser.ahead(window, vocabulary)
+        wanted = 4 * (len(guesses) + ROUND_PAIRS)
+        rows = _count_changes(words, pending, guesses).orderBy(F.desc("peak"), "pair").limit(wanted).collect()
+        names = [symbol(left) + symbol(right) for left, right, _ in guesses]
+        best, counts, done = _confirmed(rows, len(rows) < wanted, names, least)
+        guesser.back_to(max(0, len(best) - 1))
+        guesser.correct(counts, 0 if len(rows) < wanted else rows[-1]["peak"])
+        taken = [vocabulary.add(pair) for pair in best[: len(guesses)]]
+        if len(best) > len(taken) and not vocabulary.full():
+            taken.append(vocabulary.add(best[-1]))
+        if taken and len(taken) == len(best):
+            guesser.merge(best[-1], symbol(taken[-1][2]))
+            guesser.back_to(1)
+        merges += taken
+        pending += taken
+        if done:
             break
-        chosen = _independent(ranked, tokens, known, vocab_size - len(tokens))
-        merges += chosen
-        pending += chosen
-    return Subwords(tokens, merges)
+        right = len(best) > len(guesses)
+        window = min(LARGEST_WINDOW, 2 * max(1, window)) if right else max(FIRST_WINDOW // 2, 2 * len(best)) * bool(best)
+    return Subwords(vocabulary.tokens, merges)
 
 
 def merge_ranks(merges: list[tuple[int, int, int]]) -> dict[str, tuple[int, str]]:

@@ -58,9 +58,13 @@ def test_random_words_with_many_ties(spark):
     assert tokenizer.get_vocab() == {token: i for i, token in enumerate(model.tokens)}
 
 
-def test_batched_rounds_equal_single_merges(texts, model, monkeypatch):
-    monkeypatch.setattr(sw, "ROUND_PAIRS", 1)
-    assert sw.learn(texts, vocab_size=275).merges == model.merges[: 275 - 258]
+@pytest.mark.parametrize("words, pairs, window", [(3, 256, 8), (1000, 1, 4), (1000, 256, 0)])
+def test_bad_guesses_and_short_reports_change_nothing(texts, model, monkeypatch, words, pairs, window):
+    monkeypatch.setattr(sw, "GUESSED_WORDS", words)
+    monkeypatch.setattr(sw, "ROUND_PAIRS", pairs)
+    monkeypatch.setattr(sw, "FIRST_WINDOW", window)
+    monkeypatch.setattr(sw, "PENDING_MERGES", 5)
+    assert sw.learn(texts, vocab_size=280).merges == model.merges[: 280 - 258]
 
 
 def test_min_frequency_stops_early(texts):
