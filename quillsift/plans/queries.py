@@ -455,7 +455,7 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 
 @lru_cache(maxsize=None)
 def document_subwords(spark: SparkSession, folder: str) -> sw.Subwords:
-    return sw.learn(documents(spark, folder), vocab_size=P.VOCAB)
+    return sw.learn(documents(spark, folder))
 
 
 @lru_cache(maxsize=None)
@@ -466,7 +466,7 @@ def experiment(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame,
 @lru_cache(maxsize=None)
 def training(spark: SparkSession, folder: str) -> tuple[DataFrame, sw.Subwords, list[str]]:
     train, _, features = experiment(spark, folder)
-    subwords = sw.learn(train, "text", P.VOCAB)
+    subwords = sw.learn(train, "text")
     return ln.training_table(train, subwords, features), subwords, features
 
 
@@ -549,20 +549,20 @@ def logistic_scores(spark, folder):
 @query
 def grid_search(spark, folder):
     table, _, features = training(spark, folder)
-    return ln.grid_search(table, features, P.GRID, P.GRID_FOLDS, max_iter=P.MAX_ITER)
+    return ln.grid_search(table, features, max_iter=P.MAX_ITER)
 
 
 @query
 def random_search(spark, folder):
     table, _, features = training(spark, folder)
-    return search(table, features, P.SPACE, P.TRIALS, max_iter=P.MAX_ITER)
+    return search(table, features, P.SPACE, max_iter=P.MAX_ITER)
 
 
 @query
 def neural_scores(spark, folder):
     table, subwords, features = training(spark, folder)
     _, test, _ = experiment(spark, folder)
-    model = fit_neural(table, subwords, features, embedding_dim=16, dense_units=16)
+    model = fit_neural(table, subwords, features)
     return model.score(test, [*KEY, "Label"])
 
 
@@ -570,7 +570,7 @@ def neural_scores(spark, folder):
 def train_report(spark, folder):
     raw = tables.raw_messages(spark, folder)
     """Rows trained and judged; the record itself is in the run folder."""
-    _, record = classic_train(raw, new_path(spark, "train"), "classic_baseline", P.VOCAB, max_iter=P.MAX_ITER)
+    _, record = classic_train(raw, new_path(spark, "train"), "classic_baseline", max_iter=P.MAX_ITER)
     judged = F.aggregate(F.flatten("metrics.confusion_matrix"), F.lit(0).cast("long"), lambda n, x: n + x)
     return record.select("operation", "input_data.train_rows", "input_data.test_rows", judged.alias("judged"))
 
@@ -580,7 +580,7 @@ def cached_train(spark, folder):
     """The second request for the same parameters finds the first one's model."""
     store = new_path(spark, "cache")
     table, subwords, features = training(spark, folder)
-    key = {"C": 1.0, "vocab": P.VOCAB}
+    key = {"C": 1.0, "vocab": len(subwords.tokens)}
     _, test, _ = experiment(spark, folder)
 
     def train() -> ln.TextModel:
