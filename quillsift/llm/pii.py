@@ -3,10 +3,10 @@
 Method: four patterns give the base spans (email, ip, card, phone). Every other token with seven digits
 or an at-sign is a candidate. Base spans and candidates of a text form a chain in text order; nodes that
 repeat or resemble an earlier one (same digits, same last nine digits, same address in any case) get a skip link to the last such
-node, however far away. Node weights (shape of the token, the word before it), chain weights and the one
+node, and each candidate to the nearest such base span before and after it, however far away. Node weights (shape of the token, the word before it), chain weights and the one
 skip weight are learned by pseudo-likelihood on a bounded sample of texts, whose base spans carry their
 kind and whose candidates count as nothing. Loopy message passing with base spans held fixed gives each
-candidate's probabilities, so a number written in another form takes the kind of its other mentions.
+candidate's probabilities, run until no message changes by more than ``STILL``, so a number written in another form takes the kind of its other mentions.
 A candidate is added as a span if one kind's probability reaches ``SURE`` and a skip link supports it.
 Base spans always stay.
 
@@ -31,7 +31,8 @@ LABELS = 1 + len(KINDS)
 SAMPLE = 3_000
 SEED = 13
 SURE = 0.9
-ROUNDS = 12
+STILL = 1e-4
+SLOWER_AFTER = 400
 STEPS = 300
 PENALTY = 1e-3
 SKIP_PRIOR, SKIP_PENALTY = 5.0, 0.05
@@ -159,7 +160,7 @@ class Graph:
         for i, (text, spans) in enumerate(zip(texts, base)):
             if not text or not ANY.search(text):
                 continue
-            first, last_with = len(labels), {}
+            first, last_with, last_base, next_base, keys, pairs = len(labels), {}, {}, {}, [], {}
             for label, start, end in nodes_of(text, spans):
                 k = len(labels)
                 self.owner.append(i)
@@ -168,12 +169,21 @@ class Graph:
                 x.append(shape(text, start, end))
                 if k > first:
                     chain.append((k - 1, k))
-                linked = set()
-                for key in keys_of(text[start:end]):
-                    if key in last_with and last_with[key] not in linked:
-                        skip.append((last_with[key], k))
-                        linked.add(last_with[key])
+                keys.append(keys_of(text[start:end]))
+                for key in keys[-1]:
+                    for known in (last_with, last_base) if label == 0 else (last_with,):
+                        if key in known:
+                            pairs[known[key], k] = None
                     last_with[key] = k
+                    if label:
+                        last_base[key] = k
+            for k in range(len(labels) - 1, first - 1, -1):
+                for key in keys[k - first]:
+                    if labels[k]:
+                        next_base[key] = k
+                    elif key in next_base:
+                        pairs[k, next_base[key]] = None
+            skip += pairs
         self.labels = np.array(labels, dtype=np.int64)
         self.x = np.array(x, dtype=float).reshape(-1, FEATURES)
         self.chain = np.array(chain, dtype=np.int64).reshape(-1, 2)
@@ -220,7 +230,10 @@ class Field:
         return self
 
     def probabilities(self, graph: Graph) -> np.ndarray:
-        """Sum-product messages along all links at once, for a fixed number of rounds; base spans stay fixed."""
+        """Sum-product messages along all links at once, in each text until they stop changing; base spans stay fixed.
+
+        Messages that swing move by half as much after every ``SLOWER_AFTER`` rounds, so each text comes to rest.
+        """
         local = graph.x @ self.node
         fixed = graph.labels > 0
         local[fixed] = -50.0
@@ -233,15 +246,21 @@ class Field:
         target = np.concatenate([links[:, 1], links[:, 0]])
         pair = np.concatenate([pair, pair.transpose(0, 2, 1)])
         back = np.concatenate([np.arange(len(links)) + len(links), np.arange(len(links))])
+        owner = np.array(graph.owner, dtype=np.int64)[source]
         message = np.zeros((len(source), LABELS))
         belief = local.copy()
-        for _ in range(ROUNDS):
-            cavity = belief[source] - message[back]
-            new = np.logaddexp.reduce(cavity[:, :, None] + pair, axis=1) if len(source) else message
-            new -= new.max(axis=1, keepdims=True) if len(new) else 0
-            message = 0.5 * message + 0.5 * new
-            belief = local.copy()
-            np.add.at(belief, target, message)
+        active, rounds = np.flatnonzero(~fixed[target]), 0
+        while len(active):
+            cavity = belief[source[active]] - message[back[active]]
+            new = np.logaddexp.reduce(cavity[:, :, None] + pair[active], axis=1)
+            new -= new.max(axis=1, keepdims=True)
+            step = (new - message[active]) * 0.5 ** (1 + rounds // SLOWER_AFTER)
+            message[active] += step
+            np.add.at(belief, target[active], step)
+            moving = np.zeros(1 + owner.max(), dtype=bool)
+            moving[owner[active[np.abs(step).max(axis=1) > STILL]]] = True
+            active = active[moving[owner[active]]]
+            rounds += 1
         p = np.exp(belief - belief.max(axis=1, keepdims=True)) if len(belief) else belief
         return p / p.sum(axis=1, keepdims=True) if len(p) else p
 

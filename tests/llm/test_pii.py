@@ -57,3 +57,15 @@ def test_redaction_and_odd_rows(spark):
     assert [r["text"] for r in got.collect()] == ["mail é <email>, or <phone>; done", None, "", "no data", "<ip> " * 3000]
     empty = frame.where("false")
     assert P.redact(empty, P.train(empty)).count() == 0
+
+
+def added(text, field):
+    base, every = P.find([text], field)[0]
+    return [(P.KINDS[k], text[s:e]) for k, s, e in sorted(set(every) - set(base), key=lambda x: x[1])]
+
+
+def test_every_repeat_of_a_base_span_gets_its_kind(spark, folder):
+    field = P.train(spark.read.parquet(f"{folder}/documents.parquet"))
+    for kind, base, repeat in (("card", "4785 3805 9239 1139", "4785.3805.9239.1139"), ("phone", "+49 170 1234567", "0049-170-1234567")):
+        for text in (f"Note {base} now. " + f"Then {repeat} again. " * 50, f"Then {repeat} again. " * 50 + f"Note {base} now."):
+            assert added(text, field) == [(kind, repeat)] * 50
