@@ -1,9 +1,11 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
-Method: four patterns give the base spans (email, ip, card, phone). Every other token with seven digits
-or an at-sign is a candidate. Base spans and candidates of a text form a chain in text order; nodes that
-repeat or resemble an earlier one (same digits, same last nine digits, same address in any case) get a skip link to the last such
-node, and each candidate to the nearest such base span before and after it, however far away. Node weights (shape of the token, the word before it), chain weights and the one
+Method: four patterns give the base spans (email, ip, card, phone). Candidates are the other tokens with an
+at-sign, and the other runs of digit groups with seven digits, joined by blanks, dots, hyphens, brackets or up to
+three such marks in a line. A part of a run whose digits repeat a base span, or a phone without its
+country or area code, is a candidate of its own. Base spans and candidates of a text form a chain in text order; nodes that
+repeat or resemble an earlier one (same digits, same last nine digits, same last seven digits of a phone, same address in any case)
+get a skip link to the last such node, and each candidate to the nearest such base span before and after it, however far away. Node weights (shape of the token, the word before it), chain weights and the one
 skip weight are learned by pseudo-likelihood on a bounded sample of texts, whose base spans carry their
 kind and whose candidates count as nothing. Loopy message passing with base spans held fixed gives each
 candidate's probabilities, run until no message changes by more than ``STILL``, so a number written in another form takes the kind of its other mentions.
@@ -38,6 +40,8 @@ PENALTY = 1e-3
 SKIP_PRIOR, SKIP_PENALTY = 5.0, 0.05
 LEAST_DIGITS = 7
 TAIL = 9
+PHONE_TAIL, PHONE_MOST = 7, 15
+MOST_DIGITS = 19
 TEXTS_AT_ONCE = 500
 
 ANY = re.compile(r"[0-9@]")
@@ -46,7 +50,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL_CHARS = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-TOKEN = re.compile(r"[^\s]*[0-9@][^\s]*")
+TOKEN = re.compile(r"[^\s]++")
+RUN = re.compile(r"[0-9]++(?:(?:(?:[^\w\n\r]|_){1,3}|[^\s0-9@]{1,3})[0-9]++)*+")
+GROUP = re.compile(r"[0-9]++")
 NOT_DIGIT = re.compile(r"[^0-9]+")
 EDGES = ".,;:!?()[]{}<>\"'*#$%&|="
 HINTS = re.compile(r"phone|tel|call|mobile|card|visa|credit|mail|address|contact|server|host|fax|token|key|password|id", re.I)
@@ -104,28 +110,130 @@ def rendered(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(spans))
 
 
+def phone_suffixes(digits: str) -> list[str]:
+    """A phone's digits, and what is left of them without leading codes."""
+    return [digits[i:] for i in range(len(digits) - PHONE_TAIL + 1)]
+
+
+class Known:
+    """Digits of the base spans of a text, by which parts of digit runs are found again."""
+
+    def __init__(self, text: str, base: list[tuple[int, int, int]]):
+        self.tails, self.nine, self.whole = set(), set(), set()
+        for kind, start, end in base:
+            digits = NOT_DIGIT.sub("", text[start:end])
+            if kind and len(digits) >= LEAST_DIGITS:
+                self.tails.add(digits[-PHONE_TAIL:])
+                self.whole.update(phone_suffixes(digits) if KINDS[kind] == "phone" else [digits])
+                if len(digits) >= TAIL:
+                    self.nine.add(digits[-TAIL:])
+
+    def repeats(self, digits: str) -> bool:
+        """The digits of a base span, or the end of a phone; with no, one or two zeros before them."""
+        return any(digits[:zeros] == "0" * zeros and digits[zeros:] in self.whole for zeros in (0, 1, 2))
+
+
+def mentions(text: str, groups: list[tuple[int, int]], known: Known) -> list[tuple[int, int]]:
+    """Parts of a run of digit groups, as (first, end) group, that repeat a base span; in order, without overlap.
+
+    For each last group the longest part that repeats one whole, else the shortest with its last nine digits; then
+    groups before it that are joined without a blank or a comma.
+    """
+    ends, digits = [], "".join(text[s:e] for s, e in groups)
+    for s, e in groups:
+        ends.append((ends[-1] if ends else 0) + e - s)
+    begins = [0, *ends[:-1]]
+    out, free = [], 0
+    for last, end in enumerate(ends):
+        if end < LEAST_DIGITS or digits[end - PHONE_TAIL : end] not in known.tails:
+            continue
+        first = nine = None
+        at = last
+        while at >= free and end - begins[at] <= MOST_DIGITS:
+            part = digits[begins[at] : end]
+            if known.repeats(part):
+                first = at
+            elif nine is None and len(part) >= TAIL and part[-TAIL:] in known.nine:
+                nine = at
+            at -= 1
+        first = nine if first is None else first
+        if first is None:
+            continue
+        while first > free and end - begins[first - 1] <= MOST_DIGITS and not re.search(r"[\s,;]", text[groups[first - 1][1] : groups[first][0]]):
+            first -= 1
+        out.append((first, last + 1))
+        free = last + 1
+    return out
+
+
+def pieces(text: str, groups: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The candidates of groups that repeat nothing: all as one if that can be one number, else those without blanks."""
+    if not groups:
+        return []
+    if sum(e - s for s, e in groups) <= MOST_DIGITS:
+        parts = [groups]
+    else:
+        parts = [[groups[0]]]
+        for before, group in zip(groups, groups[1:]):
+            if re.search(r"\s", text[before[1] : group[0]]):
+                parts.append([])
+            parts[-1].append(group)
+    return [(part[0][0], part[-1][1]) for part in parts if sum(e - s for s, e in part) >= LEAST_DIGITS]
+
+
 def nodes_of(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """(label, start, end) in text order: base spans (kind + 1), and candidates outside them (0)."""
     taken = sorted((s, e, k + 1) for k, s, e in base)
-    out, at, last = [], 0, -1
+    out, cover, last = [], [], -1
     for s, e, k in taken:
         if s >= last:
             out.append((k, s, e))
+            cover.append([s, e])
             last = e
-    fixed = [(s, e) for _, s, e in out]
-    for m in TOKEN.finditer(text):
-        token = m.group()
-        s = m.start() + len(token) - len(token.lstrip(EDGES))
-        e = m.end() - (len(token) - len(token.rstrip(EDGES)))
-        if e <= s:
-            continue
-        while at < len(fixed) and fixed[at][1] <= s:
-            at += 1
-        if at < len(fixed) and fixed[at][0] < e:
-            continue
-        body = text[s:e]
-        if "@" in body or len(NOT_DIGIT.sub("", body)) >= LEAST_DIGITS:
-            out.append((0, s, e))
+        elif e > cover[-1][1]:
+            cover[-1][1] = e
+    found = []
+    if "@" in text:
+        at = 0
+        for m in TOKEN.finditer(text):
+            token = m.group()
+            if "@" not in token:
+                continue
+            s = m.start() + len(token) - len(token.lstrip(EDGES))
+            e = m.end() - (len(token) - len(token.rstrip(EDGES)))
+            while at < len(cover) and cover[at][1] <= s:
+                at += 1
+            if e > s and not (at < len(cover) and cover[at][0] < e) and "@" in text[s:e]:
+                found.append((s, e))
+    out += [(0, s, e) for s, e in found]
+    cover = sorted([*map(tuple, cover), *found])
+    known, at = Known(text, base), 0
+    for m in RUN.finditer(text):
+        runs, split = [[]], False
+        for g in GROUP.finditer(text, m.start(), m.end()):
+            while at < len(cover) and cover[at][1] <= g.start():
+                at += 1
+                split = True
+            if at < len(cover) and cover[at][0] < g.end():
+                split = True
+                continue
+            if split:
+                runs.append([])
+                split = False
+            runs[-1].append(g.span())
+        for groups in runs:
+            done = 0
+            for first, end in mentions(text, groups, known):
+                out += [(0, s, e) for s, e in pieces(text, groups[done:first])]
+                s, e = groups[first][0], groups[end - 1][1]
+                floor = max(groups[first - 1][1] if first else 0, cover[at - 1][1] if at else 0)
+                if s > floor and text[s - 1] == "(" and ")" in text[s:e]:
+                    s -= 1
+                if s > floor and text[s - 1] == "+":
+                    s -= 1
+                out.append((0, s, e))
+                done = end
+            out += [(0, s, e) for s, e in pieces(text, groups[done:])]
     return sorted(out, key=lambda x: x[1])
 
 
@@ -133,10 +241,10 @@ def shape(text: str, start: int, end: int) -> list[float]:
     body = text[start:end]
     digits = NOT_DIGIT.sub("", body)
     n = len(digits)
-    letters = sum(c.isalpha() for c in body[:200])
+    letters = any(c.isalpha() for c in body[:200]) or text[max(0, start - 1) : start].isalpha() or text[end : end + 1].isalpha()
     return [
         1.0, float("@" in body), float(body.startswith("+")), float(13 <= n <= 19), float(9 <= n <= 15), float(body.count(".") == 3),
-        float(n == len(body)), float(letters > 0), float(" " in body or "-" in body), float(n > 19),
+        float(n == len(body)), float(letters), float(" " in body or "-" in body), float(n > 19),
         float(13 <= n <= 19 and luhn(digits)), float(bool(HINTS.search(text, max(0, start - 24), start))),
     ]
 
@@ -144,12 +252,17 @@ def shape(text: str, start: int, end: int) -> list[float]:
 FEATURES = 12
 
 
-def keys_of(body: str) -> list[str]:
+def keys_of(body: str, label: int = 0) -> list[str]:
     """What two mentions of the same thing share."""
     if "@" in body:
         return ["a" + body.lower()]
     digits = NOT_DIGIT.sub("", body)
-    return ["d" + digits, "t" + digits[-TAIL:]] if len(digits) >= TAIL else ["d" + digits]
+    keys = ["d" + digits]
+    if len(digits) >= TAIL:
+        keys.append("t" + digits[-TAIL:])
+    if label == 1 + KINDS.index("phone") or label == 0 and PHONE_TAIL <= len(digits) <= PHONE_MOST:
+        keys.append("n" + digits[-PHONE_TAIL:])
+    return keys
 
 
 class Graph:
@@ -169,7 +282,7 @@ class Graph:
                 x.append(shape(text, start, end))
                 if k > first:
                     chain.append((k - 1, k))
-                keys.append(keys_of(text[start:end]))
+                keys.append(keys_of(text[start:end], label))
                 for key in keys[-1]:
                     for known in (last_with, last_base) if label == 0 else (last_with,):
                         if key in known:

@@ -69,3 +69,15 @@ def test_every_repeat_of_a_base_span_gets_its_kind(spark, folder):
     for kind, base, repeat in (("card", "4785 3805 9239 1139", "4785.3805.9239.1139"), ("phone", "+49 170 1234567", "0049-170-1234567")):
         for text in (f"Note {base} now. " + f"Then {repeat} again. " * 50, f"Then {repeat} again. " * 50 + f"Note {base} now."):
             assert added(text, field) == [(kind, repeat)] * 50
+
+
+def test_numbers_written_with_blanks(spark, folder):
+    field = P.train(spark.read.parquet(f"{folder}/documents.parquet"))
+    cases = [
+        ("phone", "+49 170 1234567", "0049 170 1234567"), ("phone", "+49 170 1234567", "0170 123 4567"), ("phone", "+49 170 1234567", "0170/1234567"),
+        ("phone", "+1 (555) 010-9999", "(555) 010-9999"), ("phone", "+1 (555) 010-9999", "010-9999"), ("card", "4785 3805 9239 1139", "4785. 3805. 9239. 1139"),
+    ]
+    for kind, base, repeat in cases:
+        assert added(f"We noted {base} here. Some words later it was {repeat} again, with ref 99 12345 678.", field) == [(kind, repeat)]
+    assert added("We noted +49 170 1234567 here. Rows: 5, 0170 123 4567, 12 77 31 and 2020 2021 2022 2023 2024.", field) == [("phone", "0170 123 4567")]
+    assert P.nodes_of("1 2 " * 50_000 + "x" * 200_000 + " 1-" * 50_000, []) == []
