@@ -6,9 +6,13 @@ import html
 import re
 from typing import NamedTuple
 
+# Attributes up to "/>"; the slash that ends an unquoted value belongs to the value.
+SELF_CLOSED = r"""(?:[^"'>=/]++|/(?!>)|"[^"]*+"|'[^']*+'|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)?+)*+/>"""
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title|noscript|template|iframe|svg|select)\b(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title|noscript|template|iframe|svg|select)\b(?:"
+    + SELF_CLOSED
+    + r"|(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z))"
     r"|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>",
     re.S | re.I,
@@ -54,8 +58,8 @@ def _attribute_words(raw: str) -> list[str]:
 def parse(source: str | None) -> Page:
     """Element 0 is the root. Inline elements make no element of their own, but links are counted.
 
-    Contents of scripts, styles, titles, text areas, selects, templates, frames and drawings, and comments are no text. A block
-    ends where an element other than an inline one begins or ends.
+    Contents of scripts, styles, titles, text areas, selects, templates, frames and drawings, and comments are no text; one of them
+    that is closed in its own tag ("/>") has no contents. A block ends where an element other than an inline one begins or ends.
     """
     tags, parents, words, blocks = ["#root"], [-1], [[]], []
     stack = [0]

@@ -65,3 +65,16 @@ def test_rows_columns_and_long_pages(spark, trees):
     got = X.extract(spark.createDataFrame(rows, "page_id long, html string, odds string"), trees).collect()
     assert [len(r["text"].split("\n")) for r in got[:2]] == [20_000] * 2 and got[2]["text"] == "" and got[0]["odds"] == "t"
     assert X.train(spark.createDataFrame([], "page_id long, html string")).feature
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<article><p>a</p><svg class=\"i\"/><p>all the rest</p></article>", "a\nall the rest"),
+        ("<p>a</p><svg class='x>y' /><p>b</p><svg><path d='M0'/>no</svg><p>c</p>", "a\nb\nc"),
+        ("<p>a</p><script src='x.js'/></script><iframe src=\"u\"/><p>b</p>", "a\nb"),
+        ("<p>a</p><iframe src=http://x.org/>no</iframe><p>b</p><svg/>", "a\nb"),
+    ],
+)
+def test_skipped_elements_closed_in_their_own_tag(source, text):
+    assert "\n".join(t for _, t, _ in parse(source).blocks) == text
