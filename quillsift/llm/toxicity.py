@@ -8,9 +8,10 @@ often toxic texts use it; a text's features are the summed weights of each readi
 one and their density, and a logistic model fitted to labels turns them into a score. Clauses without an insult or a
 threat can't score, so only clauses around a trie match are read word by word.
 
-Learned from labels: the stems (whole words and prefixes that toxic texts use far more often) and the
+Learned from labels: the stems (whole words of any length, and prefixes of at least four letters, that toxic
+texts use far more often; a stem of fewer letters counts as a whole word only) and the
 logistic weights, on a bounded sample of ``MAX_LABELLED`` labelled documents chosen by a hash of their id.
-The function words are fixed.
+The function words are fixed, and those of fewer than four letters are never stems.
 
 Defined results: null and empty texts have no match and get the score of a text without one; labels
 that are null or for unknown documents don't train; contradictory labels count as toxic; a document
@@ -46,6 +47,7 @@ WORDS = {
     "q": "said says say wrote claims called quoted sagte sagt schrieb dit disait écrit dijo dice escribió",
     "h": "kill hurt beat destroy burn shoot stab töten schlagen verbrennen tuer frapper brûler matar golpear quemar",
 }
+SHORT_FIXED = {word for words in WORDS.values() for word in words.split() if len(word) < STEMS[0]}
 READINGS = ["plain", "aimed", "negated", "reported", "threat", "threat_aimed"]
 CLAUSE = re.compile(r"[.!?;:\n]+")
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -115,6 +117,11 @@ def grammar() -> tuple[dict, tuple]:
 OUTPUTS = {"i": 0, "I": 1, "N": 2, "R": 3, "h": 4, "H": 5}
 
 
+def alone(text: str, start: int, end: int) -> bool:
+    """Is this part of the text a whole word?"""
+    return not (start and text[start - 1].isalnum()) and not text[end : end + 1].isalnum()
+
+
 class Lexicon:
     """Trie of stems with weights, and the fixed words; ``symbol`` maps a word to (symbol, weight)."""
 
@@ -128,14 +135,14 @@ class Lexicon:
         """Finds texts with a stem or threat at all; rebuilt by each worker."""
         trie = ahocorasick.Automaton()
         for word in [*self.stems, *WORDS["h"].split()]:
-            trie.add_word(word, 1)
+            trie.add_word(word, len(word))
         trie.make_automaton()
         return trie
 
     def symbol(self, word: str) -> tuple[str, float]:
         for n in range(min(len(word), self.longest), 0, -1):
             weight = self.stems.get(word[:n])
-            if weight is not None:
+            if weight is not None and (n >= STEMS[0] or n == len(word)):
                 return "i", weight
         if word in QUOTES:
             return "q", 0.0
@@ -160,7 +167,7 @@ class Lexicon:
         """Logs of the weights of each reading, of matching clauses and of the weight per 100 words, and the strongest clause."""
         sums, clauses, most = np.zeros(len(READINGS)), 0, 0.0
         lowered = (text or "").lower()
-        hits = [end for end, _ in trie.iter(lowered)] if len(trie) else []
+        hits = [end for end, n in trie.iter(lowered) if n >= STEMS[0] or alone(lowered, end + 1 - n, end + 1)] if len(trie) else []
         if hits:
             at = 0
             borders = [0, *[m.end() for m in CLAUSE.finditer(lowered)], len(lowered)]
@@ -213,8 +220,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str = "doc_id", tex
 
 
 def forms(word: str) -> list[str]:
-    """The prefixes a stem can be, and the word itself."""
-    return [word[:n] for n in STEMS if n < len(word)] + [word] * (len(word) >= STEMS[0])
+    """The prefixes a stem can be, and the word itself unless it is a short function word."""
+    return [word[:n] for n in STEMS if n < len(word)] + [word] * (word not in SHORT_FIXED)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,7 +275,7 @@ def learn_stems(sample: DataFrame) -> dict[str, float]:
     stems: dict[str, float] = {}
 
     def related(stem: str) -> bool:
-        return any(stem.startswith(s) or s.startswith(stem) for s in stems)
+        return stem in stems or any(a.startswith(b) for s in stems for a, b in ((stem, s), (s, stem)) if len(b) >= STEMS[0])
 
     while left:
         best = max(left, key=lambda x: (len(left[x]) * weight[x], len(x), x))

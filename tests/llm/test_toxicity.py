@@ -52,3 +52,15 @@ def test_defined_results(spark):
     assert T.train(frame, labels.where("false")) is None
     assert {r["s"] for r in T.score(frame, None, into="s").collect()} == {0.0}
     assert T.score(frame.where("false"), model).count() == 0
+
+
+def test_short_words_are_learned_as_whole_words(spark):
+    docs = [(i, "oh you zog, leave" if i % 3 == 0 else "a calm zogging text") for i in range(60)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(60)], "doc_id long, toxic int")
+    mixed = frame.selectExpr("doc_id", "replace(text, ', leave', '') as text")
+    model = T.train(mixed, labels)
+    assert "zog" in model.lexicon.stems and "you" not in model.lexicon.stems
+    trie = model.lexicon.trie()
+    insult, clean = model.scores(["an old zog", "some zogging and 1zog"], trie)
+    assert insult > 0.5 > clean == model.scores([""], trie)[0]
