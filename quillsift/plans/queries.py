@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -145,9 +146,11 @@ def page_features(spark, folder):
 
 @query
 def feature_summary(spark, folder):
+    """Of the features that the featured rows hold: one wide aggregate, whose single row is then turned."""
     featured = featured_messages(spark, folder)
     names = [c for c in featured.columns if c not in (*KEY, "Subject", "Body", "Label")]
-    return ft.feature_summary(spark.createDataFrame([(c,) for c in names], "feature string")).withColumn("list", F.array_join("list", ","))
+    held = featured.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "feature", "n").where("n > 0")
+    return ft.feature_summary(held.select("feature")).withColumn("list", F.array_join("list", ","))
 
 
 @query
@@ -488,13 +491,19 @@ def bpe_train(spark, folder):
 
 
 @query
-def bpe_encode(spark, folder):
-    """Bytes of all tokens of each document: those of its text with a leading blank."""
+def bpe_ids(spark, folder):
+    """Ids of each document, and the bytes of all its tokens: those of its text with a leading blank."""
     model = document_subwords(spark, folder)
-    sizes = F.array(*[F.lit(n) for n in model.token_sizes()])
-    ids = sw.encode(F.col("text"), model)
-    lengths = F.transform(ids, lambda i: F.element_at(sizes, i + 1))
-    return documents(spark, folder).select("doc_id", F.aggregate(lengths, F.lit(0).cast("long"), lambda n, x: n + x).alias("n_bytes"))
+    sizes = F.from_json(F.lit(json.dumps(model.token_sizes())), "array<int>")
+    encoded = documents(spark, folder).select("doc_id", sw.encode(F.col("text"), model).alias("ids"))
+    lengths = F.transform("ids", lambda i: F.element_at(sizes, i + 1))
+    return encoded.withColumn("n_bytes", F.aggregate(lengths, F.lit(0).cast("long"), lambda n, x: n + x))
+
+
+@query
+def bpe_encode(spark, folder):
+    """The column of ``bpe_ids`` that SQL can follow."""
+    return bpe_ids(spark, folder).select("doc_id", "n_bytes")
 
 
 @query
