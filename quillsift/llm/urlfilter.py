@@ -1,6 +1,7 @@
 """URL filter: a path-template tree per host, with DataFrame functions only.
 
-Method: a path is cut into its first segment, its second, and the rest. Segments with a digit are
+Method: a path is cut into its segments, and the tree grows level by level: three levels everywhere, and below
+them under each template of which some path goes on, until none does. Segments with a digit are
 variable and become the wildcard ``*``; so does any segment under a parent that has many children with
 few addresses each. Addresses that fit a rule are the labelled ones. Sibling templates with labels are
 ordered by their share of blocked addresses, and neighbours that a two-proportion test can't tell apart
@@ -36,7 +37,7 @@ FEW_ADDRESSES = 5.0
 PRIOR_WEIGHT = 4.0
 Z = 1.96
 REJECT = 0.7
-LEVELS = ["s1", "s2", "s3"]
+LEAST_LEVELS = 3
 
 
 def host_of(url: Column) -> Column:
@@ -61,27 +62,35 @@ def _variable(segment: Column) -> Column:
     return F.when(segment.rlike("[0-9]"), F.lit("*")).otherwise(segment)
 
 
-def segments(path: Column) -> list[Column]:
-    """First segment, second, and the rest as one; digits make a segment a wildcard."""
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    rest = F.concat_ws("/", F.slice(parts, 3, F.greatest(F.size(parts), F.lit(1))))
-    return [_variable(F.coalesce(F.try_element_at(parts, F.lit(k)), F.lit(""))) for k in (1, 2)] + [_variable(rest)]
+def segments(path: Column) -> Column:
+    """All segments; digits make a segment a wildcard."""
+    return F.transform(F.filter(F.split(path, "/"), lambda s: s != ""), _variable)
 
 
 def generalised(shapes: DataFrame) -> DataFrame:
-    """``shapes`` with t1, t2, t3: the segments after parents with many small children got a wildcard."""
-    out = shapes
-    parents = ["host"]
-    for level, segment in enumerate(LEVELS, 1):
-        own = f"t{level}"
-        children = out.groupBy(*parents, segment).agg(F.sum("pages").alias("n"))
-        wide = children.groupBy(*parents).agg(F.count("*").alias("children"), F.sum("n").alias("n"))
-        wide = wide.where((F.col("children") > MANY_CHILDREN) & (F.col("n") / F.col("children") < FEW_ADDRESSES))
-        wide = wide.select(*parents, F.lit(True).alias("wide"))
-        out = out.join(wide, parents, "left").withColumn(
-            own, F.when(F.col("wide") & (F.col(segment) != ""), F.lit("*")).otherwise(F.col(segment))
-        ).drop("wide")
-        parents = [*parents, own]
+    """``shapes`` with ``template``: the segments of each level, those after parents with many small children as wildcard.
+
+    A path that ends where others of its template go on has an empty segment there. Written after each level
+    below the first ones.
+    """
+    deepest = shapes.agg(F.max(F.size("segs"))).first()[0] or 0
+    out = shapes.withColumn("template", F.array().cast("array<string>"))
+    for level in range(1, max(LEAST_LEVELS, deepest) + 1):
+        segment = F.coalesce(F.try_element_at("segs", F.lit(level)), F.lit(""))
+        grows = F.size("template") == level - 1
+        parents = ["host", "template"]
+        children = out.where(grows).groupBy(*parents, segment.alias("segment")).agg(
+            F.sum("pages").alias("n"), F.max(F.size("segs")).alias("deepest")
+        )
+        wide = children.groupBy(*parents).agg(F.count("*").alias("children"), F.sum("n").alias("n"), F.max("deepest").alias("deepest"))
+        many = (F.col("children") > MANY_CHILDREN) & (F.col("n") / F.col("children") < FEW_ADDRESSES)
+        wide = wide.where(many if level <= LEAST_LEVELS else many | (F.col("deepest") >= level)).select(*parents, many.alias("wide"), (F.col("deepest") >= level).alias("further"))
+        own = F.when(F.col("wide") & (segment != ""), F.lit("*")).otherwise(segment)
+        more = grows if level <= LEAST_LEVELS else grows & F.col("further")
+        template = F.when(more, F.concat("template", F.array(own))).otherwise(F.col("template"))
+        out = out.join(wide, parents, "left").withColumn("template", template).drop("wide", "further")
+        if level > LEAST_LEVELS:
+            out = written(out, "level")
     return out
 
 
@@ -103,21 +112,27 @@ def _branches(nodes: DataFrame, parents: list[str], own: str) -> DataFrame:
 
 
 def purities(shapes: DataFrame) -> DataFrame:
-    """(host, t1, t2, t3, purity) from counts of labelled and blocked addresses, from the root of the tree down."""
-    keys = ["host", "t1", "t2", "t3"]
+    """(host, template, purity) from counts of labelled and blocked addresses, from the root of the tree down."""
     sums = [F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")]
-    trees = shapes.groupBy(*keys).agg(*sums)
+    trees = shapes.groupBy("host", "template").agg(*sums)
     whole = trees.agg(F.sum("labelled").alias("all_n"), F.sum("blocked").alias("all_b"))
     prior = _smoothed("all_b", "all_n", F.lit(0.5))
     hosts = trees.groupBy("host").agg(*sums).join(F.broadcast(whole))
-    known = hosts.select("host", _smoothed("blocked", "labelled", prior).alias("purity"))
-    for level in range(1, len(keys)):
-        parents, own = keys[:level], keys[level]
-        nodes = trees.groupBy(*parents, own).agg(*sums)
+    known = hosts.select("host", F.array().cast("array<string>").alias("above"), _smoothed("blocked", "labelled", prior).alias("purity"))
+    deepest = shapes.agg(F.max(F.size("template"))).first()[0] or 0
+    found = None
+    for level in range(1, max(LEAST_LEVELS, deepest) + 1):
+        parents, own = ["host", "above"], "own"
+        above, segment = F.slice("template", 1, level - 1).alias("above"), F.try_element_at("template", F.lit(level)).alias(own)
+        nodes = trees.where(F.size("template") >= level).groupBy("host", above, segment).agg(*sums)
         merged = nodes.select(*parents, own).join(_branches(nodes, parents, own), [*parents, own], "left")
         merged = merged.fillna(0, ["branch_n", "branch_b"]).join(known, parents)
-        known = merged.select(*parents, own, _smoothed("branch_b", "branch_n", F.col("purity")).alias("purity"))
-    return known
+        known = merged.select("host", F.concat("above", F.array(own)).alias("above"), _smoothed("branch_b", "branch_n", F.col("purity")).alias("purity"))
+        if level >= LEAST_LEVELS:
+            if deepest > LEAST_LEVELS:
+                known = written(known, "purity")
+            found = known if found is None else found.unionByName(known)
+    return trees.select("host", "template").join(found.withColumnRenamed("above", "template"), ["host", "template"])
 
 
 def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, url: str = "url") -> DataFrame:
@@ -125,17 +140,16 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, url: str = "u
     named = pages.select(F.struct(*pages.columns).alias("page"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     named = named.withColumn("rule", rule_for(F.col("host"), F.col("path"), rules, 0))
     named = named.withColumn("label", rule_for(F.col("host"), F.col("path"), rules, 1))
-    for name, segment in zip(LEVELS, segments(F.col("path"))):
-        named = named.withColumn(name, segment)
-    shapes = named.groupBy("host", *LEVELS).agg(
+    named = named.withColumn("segs", segments(F.col("path")))
+    shapes = named.groupBy("host", "segs").agg(
         F.count("*").alias("pages"), F.count("label").alias("labelled"), F.count(F.when(F.col("label") == "block", 1)).alias("blocked")
     )
     shaped = written(generalised(written(shapes, "shapes")), "templates")
-    found = purities(shaped).withColumn("template", F.concat_ws("/", "host", *[F.nullif(F.col(t), F.lit("")) for t in ("t1", "t2", "t3")]))
-    verdicts = shaped.select("host", *LEVELS, "t1", "t2", "t3").join(found, ["host", "t1", "t2", "t3"])
-    verdicts = written(verdicts.select("host", *LEVELS, "template", "purity"), "verdicts")
+    verdicts = shaped.select("host", "segs", "template").join(purities(shaped), ["host", "template"])
+    shown = F.concat_ws("/", "host", F.filter("template", lambda t: t != ""))
+    verdicts = written(verdicts.select("host", "segs", shown.alias("template"), "purity"), "verdicts")
     own = F.when(F.col("purity") >= REJECT, F.lit("block")).otherwise(F.lit("allow"))
-    return named.join(verdicts, ["host", *LEVELS]).select(
+    return named.join(verdicts, ["host", "segs"]).select(
         "page", "host", "path", "rule", F.coalesce("label", own).alias("verdict"), "template", "purity"
     )
 

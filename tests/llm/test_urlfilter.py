@@ -44,3 +44,14 @@ def test_empty_and_unlabelled(spark):
     frame = spark.createDataFrame([(1, "http://a.com/de/x", 1, "v", 2), (2, "http://b.net/", 1, "v", 2)], SCHEMA)
     kept = U.allowed(frame)
     assert kept.columns == frame.columns and [r["page_id"] for r in kept.collect()] == [2]
+
+
+def test_deeper_branches_are_told_apart(spark):
+    urls = [f"http://s.com/blog/posts/{w}/{i}{end}" for i in range(30) for w, end in (("spam", ""), ("good", ""), ("good", "/more"))] + ["http://s.com/blog/posts/open/1"]
+    rules = [("s.com/blog/posts/spam/1", "block"), ("s.com/blog/posts/good/", "allow")]
+    got = judged(spark, urls, rules)
+    by_template = {r["template"]: r for r in got.values()}
+    assert len(got) == len(urls)
+    assert set(by_template) == {f"s.com/blog/posts/{t}" for t in ("spam/*", "good/*", "good/*/more", "open/*")}
+    assert by_template["s.com/blog/posts/spam/*"]["purity"] > 0.7 > 0.1 > by_template["s.com/blog/posts/good/*"]["purity"]
+    assert got[30 * 3 - 3]["rule"] is None and got[30 * 3 - 3]["verdict"] == "block"
