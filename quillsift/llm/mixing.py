@@ -7,7 +7,8 @@ first; only the rest of the target is selected, and the document at the border g
 still missing, so a source's total is its target rounded down.
 
 Nothing sorts a source. A histogram of the keys (source, bucket), summed before the shuffle, finds the
-bucket that holds the border; its rows alone are ordered, and every document is then judged by comparing
+bucket that holds the border; while it has more than ``ROWS_PER_BUCKET`` rows of different keys, a further histogram of
+its key range does so again. The rows of the last bucket alone are ordered, and every document is then judged by comparing
 it with its source's border row. The number of buckets follows the number of rows. The list of distinct
 sources, one row each, is ranked in one task; it is the only thing that is.
 
@@ -82,23 +83,47 @@ def _buckets(rows: int) -> int:
     return max(LEAST_BUCKETS, rows // ROWS_PER_BUCKET)
 
 
+def _holding(binned: DataFrame, plan: DataFrame) -> DataFrame:
+    """(of, low, high, rows, start, budget): of each source the bucket that holds the border, with the words before it."""
+    same = F.col("source").eqNullSafe(F.col("of"))
+    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    histogram = binned.groupBy("source", "bucket").agg(
+        F.sum("size").alias("words"), F.count("*").alias("rows"), F.min("order_key").alias("low"), F.max("order_key").alias("high")
+    )
+    histogram = histogram.withColumn("ahead", F.coalesce(F.sum("words").over(before), F.lit(0)))
+    found = histogram.join(plan, same).withColumn("start", F.col("start") + F.col("ahead"))
+    found = found.where((F.col("start") <= F.col("budget")) & (F.col("budget") < F.col("start") + F.col("words")))
+    return written(found.select("of", "low", "high", "rows", "start", "budget"), "holding")
+
+
+def holding(marked: DataFrame, plan: DataFrame, buckets: int) -> DataFrame:
+    """The key range of each source's border, with at most ROWS_PER_BUCKET rows unless these have one key.
+
+    Keys are cut at even steps of 1 - exp(-key), then larger ranges at even steps of the key, again and again.
+    """
+    n = F.lit(buckets)
+    first = plan.select(F.col("source").alias("of"), F.lit(0).cast("long").alias("start"), "budget")
+    out = _holding(marked.withColumn("bucket", F.floor((1 - F.exp(-F.col("order_key"))) * n)), first)
+    large = (F.col("rows") > ROWS_PER_BUCKET) & (F.col("low") < F.col("high"))
+    while not out.where(large).isEmpty():
+        ranges = out.where(large).select("of", "low", "high")
+        inside = F.col("source").eqNullSafe(F.col("of")) & F.col("order_key").between(F.col("low"), F.col("high"))
+        place = (F.col("order_key") - F.col("low")) / (F.col("high") - F.col("low"))
+        binned = marked.join(ranges, inside).withColumn("bucket", F.least(F.floor(place * n), n - 1)).drop("of", "low", "high")
+        out = out.where(~large).unionByName(_holding(binned, out.where(large).select("of", "start", "budget")))
+    return out
+
+
 def borders(sized: DataFrame, planned: DataFrame) -> DataFrame:
     """``planned`` with epochs, budget and the border row of each source (null if the budget is 0)."""
-    n = F.lit(_buckets(sized.count()))
-    bucket = F.floor((1 - F.exp(-F.col("order_key"))) * n)
-    marked = sized.select("source", "order_key", "doc_key", "size", bucket.alias("bucket")).where("size > 0")
+    marked = sized.select("source", "order_key", "doc_key", "size").where("size > 0")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     plan = planned.withColumn("epochs", epochs).withColumn(
         "budget", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")
     )
     same = F.col("source").eqNullSafe(F.col("of"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    histogram = marked.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    histogram = histogram.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    holding = histogram.join(plan.select(F.col("source").alias("of"), "budget"), same).where(
-        (F.col("start") <= F.col("budget")) & (F.col("budget") < F.col("start") + F.col("words"))
-    ).select("of", F.col("bucket").alias("at"), "start", "budget")
-    inside = marked.join(holding, same & (F.col("bucket") == F.col("at")))
+    found = holding(marked, plan, _buckets(sized.count())).drop("rows")
+    inside = marked.join(found, same & F.col("order_key").between(F.col("low"), F.col("high")))
     order = ["order_key", "doc_key", "size"]
     inside = inside.groupBy("source", "start", "budget", *order).agg(F.count("*").alias("ties"))
     ahead = Window.partitionBy("source").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

@@ -68,3 +68,14 @@ def test_mixture_keeps_columns_and_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert M.shares(empty).count() == 0 and M.mixture(empty).count() == 0
     assert math.isfinite(M.sized(frame.drop("size")).agg(F.max("order_key")).first()[0])
+
+
+def test_the_border_bucket_of_a_poor_source_is_refined(spark, monkeypatch):
+    monkeypatch.setattr(M, "ROWS_PER_BUCKET", 50)
+    rows = M.written(M.sized(spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("#### ####").alias("text"), F.lit("a").alias("source"))), "rows")
+    planned = spark.createDataFrame([("a", 6000, 4000.0)], "source string, source_size long, target double")
+    marked = rows.select("source", "order_key", "doc_key", "size")
+    found = M.holding(marked, planned.selectExpr("source", "4000L AS budget"), M.LEAST_BUCKETS).collect()
+    assert len(found) == 1 and found[0]["rows"] <= 50 and found[0]["low"] > 5
+    border = M.borders(rows, planned).first()["border"]
+    assert border["order_key"] == sorted(r["order_key"] for r in rows.collect())[2000]
