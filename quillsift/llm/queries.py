@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsift.llm import chat, decontaminate, html_extract, jaccard, language, mixing, nearest, pii, toxicity, urlfilter
+from quillsift.llm import bytepairs, chat, decontaminate, html_extract, jaccard, language, mixing, nearest, pii, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,10 +78,23 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judged(pages).select("page.page_id", "host", "path", "rule", "verdict", "template")
 
 
+def op12_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = bytepairs.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    ids = F.col("ids")
+    # (?U) gives the pattern's classes their Unicode meaning, as the library has it.
+    return bytepairs.encode(docs, ranks, "(?U)" + public_tokenizers.PATTERN).select(
+        "doc_id", F.size(ids).cast("long").alias("n_tokens"), F.sha2(bytepairs.little_endian(ids, ranks), 256).alias("ids_sha256"),
+        F.sha2(bytepairs.decode(ids, ranks), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_html_extract, op3_pii, op4_jaccard_join, op5_chat_format, op6_mix_sources, op7_nearest, op8_language,
-        op9_toxicity, op10_url_filter,
+        op9_toxicity, op10_url_filter, op12_byte_pairs,
     )
 }
