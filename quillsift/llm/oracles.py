@@ -185,10 +185,50 @@ FROM seg JOIN final USING (host, s1, s2, s3)
 """
 )
 
+#: CRC-32 by its byte table; {0} is a text, the table is a row of crc_table.
+CRC_TABLE = """
+crc_table AS (
+    SELECT list(v ORDER BY i) AS crc FROM (
+        SELECT i, list_reduce(list_prepend(i, [0, 1, 2, 3, 4, 5, 6, 7]),
+            lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END) AS v
+        FROM (SELECT unnest(generate_series(0, 255))::BIGINT AS i)
+    )
+)
+"""
+CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(generate_series(1, length(hex({0})) // 2), lambda i: ('0x' || substr(hex({0}), 2 * i - 1, 2))::BIGINT)),
+    lambda a, b: xor(a // 256, crc[xor(a, b) % 256 + 1])))"""
+
+OP11 = f"""
+WITH {CRC_TABLE},
+d AS (SELECT doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+dw AS (SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word FROM d) GROUP BY doc_id, word),
+bw AS (SELECT unnest({WORDS.format("coalesce(text, '')")}) AS word FROM benchmark),
+every AS (SELECT DISTINCT word FROM (SELECT word FROM dw UNION ALL SELECT word FROM bw)),
+hashed AS (SELECT word, {CRC.format("word")} % 10000 AS bucket FROM every, crc_table),
+s AS (SELECT bucket, sum(n) AS s FROM dw JOIN hashed USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN hashed USING (word) GROUP BY bucket),
+gains AS (
+    SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)
+        / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000))))::BIGINT AS gain
+    FROM (SELECT unnest(generate_series(0, 9999)) AS bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)
+),
+weights AS (SELECT doc_id, floor(sum(n * gain) / sum(n))::BIGINT AS weight FROM dw JOIN hashed USING (word) JOIN gains USING (bucket) GROUP BY doc_id),
+scored AS (
+    SELECT doc_id, len(w)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::VARCHAR), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM d LEFT JOIN weights USING (doc_id)
+),
+fit AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT 10 * count(*) // 100 FROM fit) THEN rank END AS rank
+FROM scored LEFT JOIN fit USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontaminate": OP1,
     "op4_jaccard_join": OP4,
     "op5_chat_format": OP5,
     "op6_mix_sources": OP6,
     "op10_url_filter": OP10,
+    "op11_importance": OP11,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsift.llm import bytepairs, chat, decontaminate, html_extract, jaccard, language, mixing, nearest, pii, toxicity, urlfilter
+from quillsift.llm import bytepairs, chat, decontaminate, html_extract, importance, jaccard, language, mixing, nearest, pii, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,6 +78,12 @@ def op10_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urlfilter.judged(pages).select("page.page_id", "host", "path", "rule", "verdict", "template")
 
 
+def op11_importance(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    found = importance.resample(docs, _table(spark, folder, "benchmark"), carry=["doc_id"])
+    return found.select("doc.doc_id", "n_features", "weight", "score", "rank")
+
+
 def op12_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -95,6 +101,6 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_html_extract, op3_pii, op4_jaccard_join, op5_chat_format, op6_mix_sources, op7_nearest, op8_language,
-        op9_toxicity, op10_url_filter, op12_byte_pairs,
+        op9_toxicity, op10_url_filter, op11_importance, op12_byte_pairs,
     )
 }
