@@ -9,7 +9,8 @@ is ever shuffled. Which words are folded ahead decides the time, never the ids.
 ``LONGEST`` bytes, for which the fold's work would grow with the square, go to an Arrow function that does
 the same merges from a heap. Decoding concatenates the binary pieces of the ids.
 
-Bounds: the literals are bounded by the rank file and by ``FREQUENT``; the sample by ``SAMPLE`` rows. A row
+Bounds: the literals are bounded by the rank file and by ``FREQUENT``; the sample by ``SAMPLE`` rows. ``encode``
+lowers spark.sql.maxPlanStringLength, as the driver would else keep the literals' text for every execution. A row
 holds the ids of its own text. A lost executor costs its tasks, which depend on nothing but their rows.
 
 Defined results: a null or empty text has no ids; a text is encoded whole, however long; repeated rows get
@@ -28,13 +29,13 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from quillsift.session import written
 
-SAMPLE = 50_000
+SAMPLE = 20_000
 FREQUENT = 1 << 19
 LONGEST = 256
 #: Buckets of pairs, a prime so that left * 31 + right spreads, and of words.
@@ -42,6 +43,8 @@ PAIR_BUCKETS, WORD_BUCKETS = 16_381, 1 << 17
 PAIR = 1 << 32
 #: In a bucket of words each is OPEN, word, CLOSE, ids as symbols.
 OPEN, CLOSE, BORDER = "\x01", "\x02", "\x03"
+#: Characters of a plan's text that the driver keeps; it would hold the literals of every execution.
+PLAN_TEXT = 1 << 16
 FIRST_SYMBOL, SURROGATES, SKIPPED = 0x100, 0xD800, 0x800
 
 
@@ -105,6 +108,13 @@ def symbol(token: int) -> str:
     return chr(code if code < SURROGATES else code + SKIPPED)
 
 
+def short_plans(spark: SparkSession) -> None:
+    """Lowers the length of plan texts for the session, unless it is as low already."""
+    name = "spark.sql.maxPlanStringLength"
+    if int(spark.conf.get(name)) > PLAN_TEXT:
+        spark.conf.set(name, PLAN_TEXT)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed, and written in the plan, once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -202,6 +212,7 @@ def encode(docs: DataFrame, ranks: Ranks, pattern: str, text: str = "text", into
 
     Each match of the pattern is encoded on its own; special tokens are ordinary text.
     """
+    short_plans(docs.sparkSession)
     merges = docs.sparkSession.sparkContext.broadcast(ranks.merges)
     singles = docs.sparkSession.sparkContext.broadcast({piece[0]: i for i, piece in enumerate(ranks.pieces) if len(piece) == 1})
 
