@@ -109,9 +109,9 @@ def symbol(token: int) -> str:
 
 
 def short_plans(spark: SparkSession) -> None:
-    """Lowers the length of plan texts for the session, unless it is as low already."""
-    name = "spark.sql.maxPlanStringLength"
-    if int(spark.conf.get(name)) > PLAN_TEXT:
+    """Lowers the length of plan texts for the session, unless it has one of its own."""
+    name, unset = "spark.sql.maxPlanStringLength", 2**31 - 16
+    if spark.conf.get(name) in (str(unset), f"{unset}b"):
         spark.conf.set(name, PLAN_TEXT)
 
 
