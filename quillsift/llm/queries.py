@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillsift.llm import bytepairs, chat, decontaminate, html_extract, importance, jaccard, language, mixing, nearest, pii, toxicity, urlfilter
+from quillsift.llm import bytepairs, chat, decontaminate, html_extract, importance, jaccard, language, mixing, nearest, pii, repair, toxicity, urlfilter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -97,10 +97,15 @@ def op12_byte_pairs(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.reports(rows, repair.damaged(rows), F.col("copies"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_decontaminate, op2_html_extract, op3_pii, op4_jaccard_join, op5_chat_format, op6_mix_sources, op7_nearest, op8_language,
-        op9_toxicity, op10_url_filter, op11_importance, op12_byte_pairs,
+        op9_toxicity, op10_url_filter, op11_importance, op12_byte_pairs, op13_repair,
     )
 }
