@@ -224,6 +224,79 @@ SELECT doc_id, n_features, weight, score, CASE WHEN rank <= (SELECT 10 * count(*
 FROM scored LEFT JOIN fit USING (doc_id)
 """
 
+#: Grammar of op13: from each state (0 nothing yet, 1 system, 2 user, 3 assistant) the moves of one row after up to two insertions.
+OP13_MOVES = ", ".join(
+    [f"({state}, 'D', NULL, {state}, 2, 'D', '')" for state in range(4)]
+    + [
+        f"({state}, '{letter}', '{initial}', {to}, {5 * k + (letter == 'R')}, '{'I' * k}{letter}', '{added}')"
+        for state, k, middle, added in (
+            (0, 0, 0, ""), (0, 1, 2, "|user:"), (0, 2, 3, "|user:|assistant:"), (1, 0, 1, ""), (1, 1, 2, "|user:"), (1, 2, 3, "|user:|assistant:"),
+            (2, 0, 2, ""), (2, 1, 3, "|assistant:"), (3, 0, 3, ""), (3, 1, 2, "|user:"),
+        )
+        for letter, initial, to in {
+            0: (("K", "s", 1), ("K", "u", 2), ("R", "user", 2)), 1: (("K", "u", 2), ("R", "user", 2)),
+            2: (("K", "a", 3), ("R", "assistant", 3)), 3: (("K", "u", 2), ("R", "user", 2)),
+        }[middle]
+    ]
+)
+
+OP13 = f"""
+WITH RECURSIVE {CRC_TABLE},
+plain AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+    FROM conversations
+),
+hashed AS (SELECT p.*, {CRC.format("k")} % 20 AS fault FROM plain p, crc_table),
+harmed AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+        CASE WHEN fault = 1 THEN '' WHEN fault = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS copy
+    FROM hashed WHERE fault <> 0
+),
+ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+        rtrim(text, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ') AS body
+    FROM harmed
+),
+judged AS (
+    SELECT *, body = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+        right(body, 1) NOT IN ('.', '!', '?') AS late, left(role, 1) AS initial,
+        lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS ahead
+    FROM ordered
+),
+moves(state, action, needs, new_state, price, letters, added) AS (VALUES {OP13_MOVES}),
+best AS (
+    SELECT DISTINCT conv_id, 0::BIGINT AS i, 0 AS state, {{'cost': 0::BIGINT, 'audit': '', 'lines': ''}} AS done FROM judged
+    UNION ALL
+    SELECT b.conv_id, b.i + 1, m.new_state, min({{
+        'cost': b.done.cost + m.price + CASE WHEN action <> 'D' AND late THEN 5 ELSE 0 END, 'audit': b.done.audit || letters,
+        'lines': b.done.lines || replace(added, '|', chr(10)) || CASE action
+            WHEN 'K' THEN chr(10) || role || ':' || text WHEN 'R' THEN chr(10) || needs || ':' || text ELSE '' END
+    }})
+    FROM best b JOIN judged j ON j.conv_id IS NOT DISTINCT FROM b.conv_id AND j.i = b.i + 1 JOIN moves m ON m.state = b.state
+    WHERE action = 'D' OR (NOT blank AND NOT again AND (action = 'R' OR needs = initial))
+    GROUP BY b.conv_id, b.i + 1, m.new_state
+),
+ends(state, price, letters, added) AS (VALUES (0, 0, '', ''), (3, 0, '', ''), (2, 5, 'I', '|assistant:'), (1, 10, 'II', '|user:|assistant:')),
+last AS (SELECT conv_id, max(i) AS n FROM judged GROUP BY conv_id),
+final AS (
+    SELECT b.conv_id, min({{'cost': b.done.cost + e.price, 'audit': b.done.audit || e.letters, 'lines': b.done.lines || replace(e.added, '|', chr(10))}}) AS done
+    FROM best b JOIN last l ON l.conv_id IS NOT DISTINCT FROM b.conv_id AND b.i = l.n JOIN ends e ON e.state = b.state GROUP BY b.conv_id
+),
+counts AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE blank) AS blank,
+        count(*) FILTER (WHERE NOT blank AND again) AS duplicate, count(*) FILTER (WHERE NOT blank AND NOT again AND late) AS truncated,
+        count(*) FILTER (WHERE i > 1 AND ahead || initial NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM judged GROUP BY conv_id
+)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+    coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(f.done.cost, 0)::BIGINT AS cost,
+    coalesce(f.done.audit, '') AS audit, sha256(coalesce(substr(f.done.lines, 2), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM o.conv_id LEFT JOIN final f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 ORACLES: dict[str, str] = {
     "op1_decontaminate": OP1,
     "op4_jaccard_join": OP4,
@@ -231,4 +304,5 @@ ORACLES: dict[str, str] = {
     "op6_mix_sources": OP6,
     "op10_url_filter": OP10,
     "op11_importance": OP11,
+    "op13_repair": OP13,
 }
