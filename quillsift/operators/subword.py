@@ -1,17 +1,17 @@
 """Byte-level sub-word vocabulary: learn merges on word counts, encode, decode.
 
-While merges are learned a word is a string with one character per symbol: a
-merge is ``replace`` of two characters by one, and tasks sum the counts of
-neighbouring pairs over their words before anything is shuffled.
+While merges are learned a word is a string with one character per symbol. Tasks
+keep an index from pairs to the places in their words, do merges in place, and
+sum the counts of neighbouring pairs before anything is shuffled.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from quillsift.operators.pair_index import BORDER, SHIFT, Merge, PairIndex, pair_key
 from quillsift.session import cut
 
 # Special tokens, and the pattern that splits text into pre-tokens.
@@ -28,10 +29,11 @@ PRETOKEN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 
 FIRST_SYMBOL = 0x100
 ROUND_PAIRS = 256
-GUESSED_WORDS = 250_000
-FIRST_WINDOW, LARGEST_WINDOW = 64, 1024
+GUESSED_WORDS = 500_000
+FIRST_WINDOW, LARGEST_WINDOW = 256, 1024
 PENDING_MERGES = 2_000
-TOTALS_AT_ONCE = 200_000
+INDEXED_SYMBOLS = 1 << 22
+ROWS_AT_ONCE = 100_000
 CACHED_WORDS = 1 << 17
 
 
@@ -108,39 +110,40 @@ def as_symbols(word: Column) -> Column:
     return F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), LATIN, BYTE_SYMBOLS)
 
 
-def _pairs(line: str) -> list[str]:
-    return [line[i : i + 2] for i in range(len(line) - 1)]
+def _codes(merges: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Merges of ids as merges of code points."""
+    return [tuple(ord(symbol(token)) for token in merge) for merge in merges]
 
 
-def _schedule(merges: list[tuple[int, int, int]]) -> dict[str, list[tuple[int, str]]]:
-    """Pair of symbols to its steps, each with the merged symbol; a pair may come again later."""
-    steps: dict[str, list[tuple[int, str]]] = {}
-    for step, (left, right, merged) in enumerate(merges):
-        steps.setdefault(symbol(left) + symbol(right), []).append((step, symbol(merged)))
-    return steps
-
-
-def _states(line: str, schedule: dict[str, list[tuple[int, str]]]) -> Iterator[tuple[int, str]]:
-    """(step, word after it) for the steps that change a word, in order; merges that don't occur cost nothing."""
-    after = -1
-    while True:
-        due = [(step, pair, merged) for pair in {*_pairs(line)} for step, merged in schedule.get(pair, ()) if step > after]
-        if not due:
-            return
-        after, pair, merged = min(due)
-        line = line.replace(pair, merged)
-        yield after, line
+def _indexes(batches: Iterator[pa.RecordBatch]) -> Iterator[PairIndex]:
+    """Indexes of a partition's words, each over a bounded number of symbols."""
+    words, counts, size = [], [], 0
+    for batch in batches:
+        for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
+            words.append(word)
+            counts.append(n)
+            size += len(word) + 1
+            if size >= INDEXED_SYMBOLS:
+                yield PairIndex(words, np.array(counts, dtype=np.int64))
+                words, counts, size = [], [], 0
+    if words:
+        yield PairIndex(words, np.array(counts, dtype=np.int64))
 
 
 def _merged(words: DataFrame, merges: list[tuple[int, int, int]]) -> DataFrame:
     """The words after the merges; those of one symbol have no pair left and go."""
-    schedule = _schedule(merges)
+    steps = _codes(merges)
 
     def applied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lines = [deque([(0, w), *_states(w, schedule)], maxlen=1)[0][1] for w in batch.column("word").to_pylist()]
-            changed = pa.RecordBatch.from_arrays([pa.array(lines, pa.string()), batch.column("n")], ["word", "n"])
-            yield changed.filter(pa.array([len(line) > 1 for line in lines], pa.bool_()))
+        for index in _indexes(batches):
+            starts = np.flatnonzero(index.symbols[:-1] == BORDER) + 1
+            counts = index.weights[starts]
+            for step in steps:
+                index.merge(*step)
+            lines = index.words()
+            keep = [i for i, line in enumerate(lines) if len(line) > 1]
+            columns = [pa.array([lines[i] for i in keep], pa.string()), pa.array(counts[keep], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
     return words.mapInArrow(applied, "word string, n long")
 
@@ -149,39 +152,27 @@ def _count_changes(words: DataFrame, pending: list[tuple[int, int, int]], guesse
     """(pair, changes, peak): how the count of every pair moves while the guessed merges are done one by one.
 
     ``changes`` is a sorted array of (step, n): step 0 holds the count after the pending merges, step k
-    what the k-th guess adds. ``peak`` is the highest count on the way. Each task sums before the shuffle.
+    what the k-th guess adds. ``peak`` is the highest count on the way. Each task does the merges in place in
+    its own index, so a merge touches only the words that hold its pair, and sums before the shuffle.
     """
-    schedule, base = _schedule([*pending, *guessed]), len(pending)
-
-    def summed(totals: Counter) -> pa.RecordBatch:
-        keys = list(totals)
-        columns = [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([totals[k] for k in keys], pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, ["pair", "step", "n"])
+    earlier, steps = _codes(pending), _codes(guessed)
 
     def changes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: Counter = Counter()
-        for batch in batches:
-            for line, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist()):
-                states = list(_states(line, schedule))
-                for step, later in states:
-                    if step < base:
-                        line = later
-                for pair in _pairs(line):
-                    totals[pair, 0] += n
-                for step, later in states:
-                    if step >= base:
-                        for pair in _pairs(line):
-                            totals[pair, step - base + 1] -= n
-                        for pair in _pairs(later):
-                            totals[pair, step - base + 1] += n
-                        line = later
-                if len(totals) > TOTALS_AT_ONCE:
-                    yield summed(totals)
-                    totals = Counter()
-        yield summed(totals)
-
-    found = words.mapInArrow(changes, "pair string, step int, n long").groupBy("pair", "step").agg(F.sum("n").alias("n"))
-    found = found.where("n <> 0").groupBy("pair").agg(F.array_sort(F.collect_list(F.struct("step", "n"))).alias("changes"))
+        for index in _indexes(batches):
+            for merge in earlier:
+                index.merge(*merge)
+            found = [index.counts(), *[index.merge(*merge)[:2] for merge in steps]]
+            step = np.repeat(np.arange(len(found), dtype=np.int32), [len(keys) for keys, _ in found])
+            keys, amounts = (np.concatenate(part) for part in zip(*found))
+            for begin in range(0, len(keys), ROWS_AT_ONCE):
+                part = slice(begin, begin + ROWS_AT_ONCE)
+                columns = [pa.array(keys[part], pa.int64()), pa.array(step[part], pa.int32()), pa.array(amounts[part], pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["pair", "step", "n"])
+
+    # Dealt by pair once; both aggregates then find their rows together.
+    found = words.mapInArrow(changes, "pair long, step int, n long").repartition("pair")
+    found = found.groupBy("pair", "step").agg(F.sum("n").alias("n")).where("n <> 0")
+    found = found.groupBy("pair").agg(F.array_sort(F.collect_list(F.struct("step", "n"))).alias("changes"))
     none = F.struct(F.lit(0).cast("long").alias("now"), F.lit(0).cast("long").alias("peak"))
 
     def add(done: Column, change: Column) -> Column:
@@ -197,65 +188,50 @@ class Guesser:
     Its guesses decide how many merges one job can confirm, never which merges are taken.
     """
 
-    def __init__(self, rows: list):
-        self.words = [row["word"] for row in rows]
-        self.n = [row["n"] for row in rows]
-        self.count: Counter = Counter()
-        self.where: dict[str, set[int]] = {}
-        self.journal: list[tuple[str, int, list[tuple[int, str]], dict[str, int]]] = []
-        for i, line in enumerate(self.words):
-            for pair in _pairs(line):
-                self.count[pair] += self.n[i]
-                self.where.setdefault(pair, set()).add(i)
+    def __init__(self, words: list[str], counts: np.ndarray):
+        self.index = PairIndex(words, counts)
+        keys, totals = self.index.counts()
+        self.count: dict[int, int] = dict(zip(keys.tolist(), totals.tolist()))
+        self.journal: list[tuple[int, int, Merge, list[tuple[int, int]]]] = []
         self.heap = [(-count, pair) for pair, count in self.count.items()]
         heapq.heapify(self.heap)
 
-    def learn(self, pair: str, count: int) -> None:
-        if self.count[pair] != count:
+    def learn(self, pair: int, count: int) -> None:
+        if self.count.get(pair, 0) != count:
             self.count[pair] = count
             if count > 0:
                 heapq.heappush(self.heap, (-count, pair))
 
-    def correct(self, counts: dict[str, int], highest: int) -> None:
+    def correct(self, counts: dict[int, int], highest: int) -> None:
         """Takes over known counts; any other pair has ``highest`` at most."""
         for pair, count in counts.items():
             self.learn(pair, count)
         for pair in [pair for pair, count in self.count.items() if count > highest and pair not in counts]:
             self.learn(pair, highest)
 
-    def merge(self, pair: str, merged: str) -> None:
-        changed, moved = [], {}
-        for i in self.where.get(pair, ()):
-            line, n = self.words[i], self.n[i]
-            if pair in line:
-                self.words[i] = line.replace(pair, merged)
-                changed.append((i, line))
-                for old in _pairs(line):
-                    moved[old] = moved.get(old, 0) - n
-                for new in _pairs(self.words[i]):
-                    moved[new] = moved.get(new, 0) + n
-                    if merged in new:
-                        self.where.setdefault(new, set()).add(i)
+    def merge(self, pair: int, merged: int) -> None:
+        keys, amounts, done = self.index.merge(pair >> SHIFT, pair & ((1 << SHIFT) - 1), merged)
+        count, moved = self.count.get(pair, 0), list(zip(keys.tolist(), amounts.tolist()))
         # These words stand for the others that hold the pair.
-        share = self.count[pair] / max(1, -moved.get(pair, 0))
-        moved = {other: round(by * share) for other, by in moved.items()}
-        self.journal.append((pair, self.count[pair], changed, moved))
-        for other, by in moved.items():
-            self.learn(other, self.count[other] + by)
+        here = -dict(moved).get(pair, 0)
+        if here != count:
+            moved = [(other, round(by * count / max(1, here))) for other, by in moved]
+        self.journal.append((pair, count, done, moved))
+        for other, by in moved:
+            self.learn(other, self.count.get(other, 0) + by)
         self.learn(pair, 0)
 
     def back_to(self, steps: int) -> None:
         """Undoes all but the first ``steps`` merges since the last call, which stay."""
         while len(self.journal) > steps:
-            pair, count, changed, moved = self.journal.pop()
-            for i, line in changed:
-                self.words[i] = line
-            for other, by in moved.items():
+            pair, count, done, moved = self.journal.pop()
+            self.index.undo(done)
+            for other, by in moved:
                 self.learn(other, self.count[other] - by)
             self.learn(pair, count)
         self.journal = []
 
-    def best(self) -> str | None:
+    def best(self) -> int | None:
         while self.heap:
             count, pair = self.heap[0]
             if self.count[pair] == -count:
@@ -272,7 +248,7 @@ class Guesser:
             if pair is None:
                 break
             found.append(vocabulary.add(pair))
-            self.merge(pair, symbol(found[-1][2]))
+            self.merge(pair, ord(symbol(found[-1][2])))
         return found
 
 
@@ -289,9 +265,9 @@ class Vocabulary:
     def full(self) -> bool:
         return len(self.tokens) >= self.size
 
-    def add(self, pair: str) -> tuple[int, int, int]:
+    def add(self, pair: int) -> tuple[int, int, int]:
         """The merge of a pair; a text that is a token already keeps its id."""
-        left, right = map(symbol_id, pair)
+        left, right = symbol_id(chr(pair >> SHIFT)), symbol_id(chr(pair & ((1 << SHIFT) - 1)))
         text = self.tokens[left] + self.tokens[right]
         if text not in self.known:
             self.known[text] = len(self.tokens)
@@ -299,26 +275,47 @@ class Vocabulary:
         return left, right, self.known[text]
 
 
-def _confirmed(rows: list, complete: bool, guesses: list[str], least: int) -> tuple[list[str], dict[str, int], bool]:
+class Changes(NamedTuple):
+    """Pairs by peak, then pair; their counts move by ``by[i]`` at step ``steps[i]``, for the pair ``of[i]``."""
+
+    pairs: np.ndarray
+    peaks: np.ndarray
+    of: np.ndarray
+    steps: np.ndarray
+    by: np.ndarray
+
+
+def _collected(rows: DataFrame) -> Changes:
+    table = rows.toArrow().combine_chunks()
+    lists = table.column("changes").combine_chunks() if table.num_rows else pa.array([], pa.list_(pa.struct([("step", pa.int32()), ("n", pa.int64())])))
+    sizes = np.diff(lists.offsets.to_numpy())
+    moves = lists.flatten()
+    return Changes(
+        table.column("pair").to_numpy(), table.column("peak").to_numpy(), np.repeat(np.arange(len(sizes)), sizes),
+        moves.field("step").to_numpy(), moves.field("n").to_numpy(),
+    )
+
+
+def _confirmed(rows: Changes, complete: bool, guesses: list[int], least: int) -> tuple[list[int], dict[int, int], bool]:
     """Best pairs of the steps whose best is certain, the counts before the last of them, and whether none is left.
 
     ``rows`` are the first pairs by peak, then pair. Any other pair has a lower peak than the last row,
     or the same peak and a later name, so a step is certain if its best beats that. Steps are certain as long as
     the guess before them was right.
     """
-    names = sorted(range(len(rows)), key=lambda i: rows[i]["pair"])
-    table = np.zeros((len(rows), len(guesses) + 1), dtype=np.int64)
-    for at, i in enumerate(names):
-        for change in rows[i]["changes"]:
-            table[at, change["step"]] += change["n"]
+    order = np.argsort(rows.pairs)
+    place = np.empty(len(order), dtype=np.int64)
+    place[order] = np.arange(len(order))
+    table = np.zeros((len(order), len(guesses) + 1), dtype=np.int64)
+    table[place[rows.of], rows.steps] = rows.by
     table = table.cumsum(axis=1)
-    pairs = [rows[i]["pair"] for i in names]
-    limit = (0, "") if complete else (-rows[-1]["peak"], rows[-1]["pair"])
-    best: list[str] = []
-    for step in range(len(guesses) + 1):
-        top = int(table[:, step].argmax()) if pairs else 0
+    pairs = rows.pairs[order].tolist()
+    tops = table.argmax(axis=0) if pairs else np.zeros(len(guesses) + 1, dtype=np.int64)
+    limit = (0, 0) if complete else (-int(rows.peaks[-1]), int(rows.pairs[-1]))
+    best: list[int] = []
+    for step, top in enumerate(tops.tolist()):
         count = int(table[top, step]) if pairs else 0
-        if count < least and (complete or rows[-1]["peak"] < least):
+        if count < least and (complete or rows.peaks[-1] < least):
             return best, {}, True
         if not complete and (-count, pairs[top]) > limit:
             break
@@ -347,7 +344,8 @@ def learn(
     # A fixed number of partitions: a small word table would be merged into one task.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     words = cut(counted.where(F.char_length("word") > 1).repartition(parts, "word"))
-    guesser = Guesser(words.orderBy(F.desc("n"), F.xxhash64("word")).limit(GUESSED_WORDS).collect())
+    known = words.orderBy(F.desc("n"), F.xxhash64("word")).limit(GUESSED_WORDS).toArrow()
+    guesser = Guesser(known.column("word").to_pylist(), known.column("n").to_numpy())
     least = max(1, min_frequency)
     pending: list[tuple[int, int, int]] = []
     window = FIRST_WINDOW
@@ -356,16 +354,17 @@ def learn(
             words, pending = cut(_merged(words, pending)), []
         guesses = guesser.ahead(window, vocabulary)
         wanted = 4 * (len(guesses) + ROUND_PAIRS)
-        rows = _count_changes(words, pending, guesses).orderBy(F.desc("peak"), "pair").limit(wanted).collect()
-        names = [symbol(left) + symbol(right) for left, right, _ in guesses]
-        best, counts, done = _confirmed(rows, len(rows) < wanted, names, least)
+        rows = _collected(_count_changes(words, pending, guesses).orderBy(F.desc("peak"), "pair").limit(wanted))
+        complete = len(rows.pairs) < wanted
+        names = [pair_key(left, right) for left, right, _ in _codes(guesses)]
+        best, counts, done = _confirmed(rows, complete, names, least)
         guesser.back_to(max(0, len(best) - 1))
-        guesser.correct(counts, 0 if len(rows) < wanted else rows[-1]["peak"])
+        guesser.correct(counts, 0 if complete else int(rows.peaks[-1]))
         taken = [vocabulary.add(pair) for pair in best[: len(guesses)]]
         if len(best) > len(taken) and not vocabulary.full():
             taken.append(vocabulary.add(best[-1]))
         if taken and len(taken) == len(best):
-            guesser.merge(best[-1], symbol(taken[-1][2]))
+            guesser.merge(best[-1], ord(symbol(taken[-1][2])))
             guesser.back_to(1)
         merges += taken
         pending += taken
