@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsift.llm.spans import named_span, replaced
 from quillsift.llm.words import Words, chunks, windows
 from quillsift.session import written
 
@@ -32,6 +33,7 @@ BLOCK_BYTES = 64 << 20
 ROW_OVERHEAD = 64
 SIEVE_BITS = 20
 HITS = "n_words long, spans array<struct<first:int,last:int,start:int,end:int>>, items array<string>"
+SPANS = "array<struct<first:int,last:int,start:int,end:int>>"
 ARROW_SPAN = pa.struct([("first", pa.int32()), ("last", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
 
 
@@ -145,22 +147,23 @@ def _scan(text: Column, rows_of) -> Column:
 
 
 def joined_spans(old: Column, new: Column) -> Column:
-    """Union of two lists of spans: sorted, and overlapping or touching ones become one."""
-    ordered = F.array_sort(F.concat(old, new))
+    """Union of two lists of spans: sorted, and overlapping or touching ones become one, in one pass over both."""
 
-    def add(done: Column, span: Column) -> Column:
-        last = F.element_at(done, -1)
-        touches = (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["last"] >= span["first"])
-        wider = F.struct(
-            last["first"].alias("first"),
-            F.greatest(last["last"], span["last"]).alias("last"),
-            last["start"].alias("start"),
-            F.greatest(last["end"], span["end"]).alias("end"),
-        )
-        return F.when(touches, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(span)))
+    @F.arrow_udf(SPANS)
+    def joined(olds: pa.Array, news: pa.Array) -> pa.Array:
+        out = []
+        for old, new in zip(olds.to_pylist(), news.to_pylist()):
+            done: list[dict] = []
+            for span in sorted([*(old or []), *(new or [])], key=lambda s: (s["first"], s["last"])):
+                if done and done[-1]["last"] >= span["first"]:
+                    done[-1]["last"] = max(done[-1]["last"], span["last"])
+                    done[-1]["end"] = max(done[-1]["end"], span["end"])
+                else:
+                    done.append(span)
+            out.append(done)
+        return pa.array(out, type=pa.list_(ARROW_SPAN))
 
-    empty = F.slice(ordered, 1, 0)
-    return F.aggregate(ordered, empty, add)
+    return joined(old, new)
 
 
 def scan(
@@ -211,12 +214,10 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", text: str = "text", width: int = WIDTH) -> DataFrame:
     """``docs`` without contaminated documents, or (``remove="spans"``) without the hit spans of their texts."""
-    scanned = scan(docs, benchmark, text, width, into="__hits")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string").alias("text"))
+    scanned = scan(rows, benchmark, "text", width)
     if remove == "documents":
-        return scanned.where(F.size("__hits.spans") == 0).select(*docs.columns)
-    spans = F.col("__hits.spans")
-    before = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
-    after = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length(text)))
-    kept = F.concat_ws("", F.zip_with(before, after, lambda b, a: F.substring(F.col(text), b + 1, a - b)))
-    left = F.when(F.size(spans) > 0, kept).otherwise(F.col(text))
-    return scanned.withColumn(text, left).select(*docs.columns)
+        return scanned.where(F.size("hits.spans") == 0).select("row.*")
+    spans = F.transform("hits.spans", lambda s: named_span(s["start"], s["end"], F.lit("")))
+    left = F.when(F.size(spans) > 0, replaced(F.col("text"), spans)).otherwise(F.col(f"row.{text}"))
+    return scanned.withColumn("left", left).select(*[F.col("left").alias(c) if c == text else F.col(f"row.{c}") for c in docs.columns])

@@ -4,19 +4,18 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+# Attributes up to the end of the tag; a quoted value may hold ">".
+REST = re.compile(r"""(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>""")
 # Attributes up to "/>"; the slash that ends an unquoted value belongs to the value.
-SELF_CLOSED = r"""(?:[^"'>=/]++|/(?!>)|"[^"]*+"|'[^']*+'|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)?+)*+/>"""
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title|noscript|template|iframe|svg|select)\b(?:"
-    + SELF_CLOSED
-    + r"|(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+>.*?(?:</\1\s*>|\Z))"
-    r"|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>",
-    re.S | re.I,
-)
+SELF_CLOSED = re.compile(r"""(?:[^"'>=/]++|/(?!>)|"[^"]*+"|'[^']*+'|=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++)?+)*+/>""")
+SKIPPED = {name: re.compile(rf"</{name}\s*>", re.I) for name in "script style textarea title noscript template iframe svg select".split()}
+# A scan for the end of a tag is in one of three states at each place (outside quotes or inside one of two kinds) and
+# scans in the same state stay so; after as many that ran to the end of the page the next ones would too.
+OPEN_SCANS = 3
 ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|aria-label|data-[\w-]+|style|hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 ATTRIBUTE_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -55,6 +54,78 @@ def _attribute_words(raw: str) -> list[str]:
     return out
 
 
+class _Open:
+    """The open elements, with the places of each name and of the elements that stop a search."""
+
+    def __init__(self):
+        self.elements, self.names = [0], ["#root"]
+        self.places: dict[str, list[int]] = {}
+        self.stops: list[int] = [0]
+
+    def push(self, element: int, name: str) -> None:
+        self.places.setdefault(name, []).append(len(self.elements))
+        if name in STOPS:
+            self.stops.append(len(self.elements))
+        self.elements.append(element)
+        self.names.append(name)
+
+    def last(self, names: set[str]) -> int:
+        """Place of the innermost open element of these names, 0 if there is none."""
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=0)
+
+    def close(self, place: int) -> None:
+        """Closes the element at a place and all inside it."""
+        while len(self.elements) > place:
+            self.elements.pop()
+            name = self.names.pop()
+            self.places[name].pop()
+            if name in STOPS:
+                self.stops.pop()
+
+
+def _tags(source: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, closing, attributes) of tags; comments, declarations and skipped elements have no name.
+
+    Every character is passed a bounded number of times: a tag whose quotes never close ends at its first ">",
+    and a "<" that no ">" follows is text.
+    """
+    at, last, open_scans, size = 0, source.rfind(">"), 0, len(source)
+    while True:
+        start = source.find("<", at)
+        if start < 0:
+            return
+        if source.startswith("<!--", start):
+            end = source.find("-->", start + 4)
+            at = size if end < 0 else end + 3
+            yield start, at, "", False, ""
+            continue
+        if start > last:
+            return
+        if source[start + 1 : start + 2] in ("!", "?"):
+            at = source.find(">", start) + 1
+            yield start, at, "", False, ""
+            continue
+        named = NAME.match(source, start)
+        if named is None:
+            at = start + 1
+            continue
+        begin = named.end()
+        rest = REST.match(source, begin) if open_scans < OPEN_SCANS else None
+        if rest is None:
+            open_scans += 1
+            at = source.find(">", begin) + 1
+        else:
+            at = rest.end()
+        closing, name, attributes = bool(named.group(1)), named.group(2).lower(), source[begin : at - 1]
+        if name in SKIPPED and not closing:
+            if not SELF_CLOSED.fullmatch(source, begin, at):
+                end = SKIPPED[name].search(source, at)
+                at = size if end is None else end.end()
+            yield start, at, "", False, ""
+        else:
+            yield start, at, name, closing, attributes
+
+
 def parse(source: str | None) -> Page:
     """Element 0 is the root. Inline elements make no element of their own, but links are counted.
 
@@ -62,7 +133,7 @@ def parse(source: str | None) -> Page:
     that is closed in its own tag ("/>") has no contents. A block ends where an element other than an inline one begins or ends.
     """
     tags, parents, words, blocks = ["#root"], [-1], [[]], []
-    stack = [0]
+    still = _Open()
     parts: list[str] = []
     in_link = link_chars = 0
 
@@ -70,23 +141,20 @@ def parse(source: str | None) -> Page:
         nonlocal link_chars
         text = " ".join(html.unescape("".join(parts)).split()) if parts else ""
         if text:
-            blocks.append((stack[-1], text, min(link_chars, len(text))))
+            blocks.append((still.elements[-1], text, min(link_chars, len(text))))
         parts.clear()
         link_chars = 0
 
     at = 0
     source = source or ""
-    for match in TOKEN.finditer(source):
-        if match.start() > at:
-            parts.append(source[at : match.start()])
+    for start, end, name, closing, attributes in _tags(source):
+        if start > at:
+            parts.append(source[at:start])
             if in_link:
-                link_chars += match.start() - at
-        at = match.end()
-        name = match.group(3)
-        if name is None:
+                link_chars += start - at
+        at = end
+        if not name:
             continue
-        name = name.lower()
-        closing = bool(match.group(2))
         if name in INLINE:
             if name == "a":
                 in_link = max(0, in_link + (-1 if closing else 1))
@@ -96,25 +164,20 @@ def parse(source: str | None) -> Page:
         flush()
         in_link = 0
         if closing:
-            for depth in range(len(stack) - 1, 0, -1):
-                if tags[stack[depth]] == name:
-                    del stack[depth:]
-                    break
+            place = still.last({name})
+            if place:
+                still.close(place)
             continue
-        ends = SAME_CLOSES.get(name) or ({"p"} if name in CLOSES_P else set())
-        for depth in range(len(stack) - 1, 0, -1):
-            if tags[stack[depth]] in ends:
-                del stack[depth:]
-                break
-            if tags[stack[depth]] in STOPS:
-                break
+        place = still.last(SAME_CLOSES.get(name) or ({"p"} if name in CLOSES_P else set()))
+        if place and place >= still.stops[-1]:
+            still.close(place)
         if name in VOID:
             continue
         tags.append(name)
-        parents.append(stack[-1])
-        words.append(_attribute_words(match.group(4)) if match.group(4) else [])
-        if not match.group(4).rstrip().endswith("/"):
-            stack.append(len(tags) - 1)
+        parents.append(still.elements[-1])
+        words.append(_attribute_words(attributes) if attributes else [])
+        if not attributes.rstrip().endswith("/"):
+            still.push(len(tags) - 1, name)
     if at < len(source):
         parts.append(source[at:])
     flush()

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillsift.llm.spans import named_span, replaced
+
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = 1 + len(KINDS)
 SAMPLE = 3_000
@@ -445,20 +447,8 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, field: Field | None, text: str = "text") -> DataFrame:
     """``docs`` with each span replaced by its kind in angle brackets; overlapping spans become one."""
-    scanned = scan(docs, field, text, "__pii")
-    ordered = F.array_sort(F.transform("__pii.spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-
-    def add(done: Column, span: Column) -> Column:
-        last = F.try_element_at(done, F.lit(-1))
-        wider = F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end"), last["kind"].alias("kind"))
-        inside = (F.size(done) > 0) & (last["end"] > span["start"])
-        return F.when(inside, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(wider))).otherwise(F.concat(done, F.array(span)))
-
-    spans = F.aggregate(ordered, F.slice(ordered, 1, 0), add)
-    scanned = scanned.withColumn("__spans", spans)
-    spans = F.col("__spans")
-    begins = F.concat(F.array(F.lit(0)), F.transform(spans, lambda s: s["end"]))
-    ends = F.concat(F.transform(spans, lambda s: s["start"]), F.array(F.length(text)))
-    names = F.concat(F.transform(spans, lambda s: F.concat(F.lit("<"), s["kind"], F.lit(">"))), F.array(F.lit("")))
-    kept = F.zip_with(F.zip_with(begins, ends, lambda b, e: F.substring(F.col(text), b + 1, e - b)), names, lambda part, name: F.concat(part, name))
-    return scanned.withColumn(text, F.when(F.size(spans) > 0, F.array_join(kept, "")).otherwise(F.col(text))).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string").alias("text"))
+    scanned = scan(rows, field)
+    spans = F.transform("pii.spans", lambda s: named_span(s["start"], s["end"], F.concat(F.lit("<"), s["kind"], F.lit(">"))))
+    left = F.when(F.size(spans) > 0, replaced(F.col("text"), spans)).otherwise(F.col(f"row.{text}"))
+    return scanned.withColumn("left", left).select(*[F.col("left").alias(c) if c == text else F.col(f"row.{c}") for c in docs.columns])

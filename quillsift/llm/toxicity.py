@@ -151,16 +151,18 @@ class Lexicon:
     def clause(self, words: list[str]) -> np.ndarray:
         """Summed weights of each reading in one clause."""
         sums = np.zeros(len(READINGS))
-        state, last = self.start, 0.0
+        # ``waiting`` are the weights of the last plain insult and threat: a target behind them moves its own match's.
+        state, waiting = self.start, {"i": 0.0, "h": 0.0}
         for word in words:
             symbol, weight = self.symbol(word)
             state, out = self.table[state, symbol]
             if out in OUTPUTS:
                 if symbol == "t":
-                    sums[OUTPUTS[out.lower()]] -= last
-                    weight = last
+                    weight = waiting[out.lower()]
+                    sums[OUTPUTS[out.lower()]] -= weight
+                elif out in waiting:
+                    waiting[out] = weight
                 sums[OUTPUTS[out]] += weight
-                last = weight
         return sums
 
     def features(self, text: str | None, trie) -> list[float]:

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -78,3 +79,19 @@ def test_rows_columns_and_long_pages(spark, trees):
 )
 def test_skipped_elements_closed_in_their_own_tag(source, text):
     assert "\n".join(t for _, t, _ in parse(source).blocks) == text
+
+
+@pytest.mark.parametrize("piece", ['<svg x="', "<x-a>", "<", "<!", "<a b='", "<p x=\"'", "<!--", "<li>", "</p>", "<x-a></y-b>", "<p><td><x-a><hr>"])
+def test_hostile_pages_are_read_in_linear_time(piece):
+    size = (1 << 20) // len(piece)
+    for text in (piece * size, piece * size + ">"):
+        start = time.perf_counter()
+        parse(text)
+        assert time.perf_counter() - start < 10
+    deep = "<x-a>" * 100_000 + "</y-b>" * 100_000 + "<p>end"
+    assert [b[1] for b in parse(deep).blocks] == ["end"]
+
+
+def test_tags_whose_quotes_never_close_end_at_their_first_bracket():
+    assert [b[1] for b in parse('<p>one</p><p title="it>two</p><p>three</p>').blocks] == ["one", "two", "three"]
+    assert [b[1] for b in parse("<p>a < b</p><p>c").blocks] == ["a < b", "c"]

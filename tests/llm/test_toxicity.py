@@ -64,3 +64,9 @@ def test_short_words_are_learned_as_whole_words(spark):
     trie = model.lexicon.trie()
     insult, clean = model.scores(["an old zog", "some zogging and 1zog"], trie)
     assert insult > 0.5 > clean == model.scores([""], trie)[0]
+
+
+def test_a_target_moves_the_weight_of_the_match_that_waits():
+    lexicon = T.Lexicon({"moron": 3.0, "idiot": 5.0})
+    found = dict(zip(T.READINGS, lexicon.clause("moron not idiot you".split()).tolist()))
+    assert sorted(found.values()) == [0, 0, 0, 0, 3, 5] and list(found.values())[:3] == [0, 3, 5]
