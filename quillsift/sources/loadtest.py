@@ -32,10 +32,11 @@ def write_summary(summary: DataFrame, path: str) -> None:
 
 
 def latest_summary(spark: SparkSession, folder: str, tag: str) -> DataFrame:
-    """Summary of the newest run whose folder is ``<tag>-<stamp>``."""
+    """Summary of the newest run whose folder is ``<tag>-<stamp>``: one file, or all part files of a folder."""
     pattern = f"{folder}/{tag}-[0-9]*/summary.csv"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(pattern)
-    newest = files.agg(F.max("path").alias("path")).first()["path"]
+    summary = F.regexp_extract("path", r"^(.*?/summary\.csv)(?:/|$)", 1)
+    newest = files.agg(F.max(summary).alias("path")).first()["path"]
     if newest is None:
         raise LookupError(f"no run of {tag} in {folder}")
     return spark.read.schema(SUMMARY_SCHEMA).option("header", True).csv(newest)

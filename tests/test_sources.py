@@ -40,3 +40,12 @@ def test_latest_summary(spark, tmp_path):
         one = spark.createDataFrame([(1, 1, 1, 0, rps, 1.0, 1.0, 1.0)], columns)
         loadtest.write_summary(one, str(tmp_path / f"tag-{stamp}" / "summary.csv"))
     assert loadtest.latest_summary(spark, str(tmp_path), "tag").first()["rps"] == 2.0
+
+
+def test_latest_summary_reads_all_part_files_of_the_newest_run(spark, tmp_path):
+    columns = "cast(id as int) users, 1 batch_size, 2 requests, 0 failures, 1.5D rps, 3D median_ms, 4D p95_ms, 5D p99_ms"
+    for stamp, rows in (("20260101-000000", 50), ("20260102-000000", 30)):
+        summary = spark.range(rows).selectExpr(*columns.split(", ")).repartition(3)
+        loadtest.write_summary(summary, str(tmp_path / f"sweep-{stamp}" / "summary.csv"))
+    assert len(list((tmp_path / "sweep-20260102-000000" / "summary.csv").glob("part-*"))) == 3
+    assert sorted(r["users"] for r in loadtest.latest_summary(spark, str(tmp_path), "sweep").collect()) == list(range(30))
