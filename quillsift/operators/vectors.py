@@ -139,12 +139,16 @@ def tfidf_stages(
     Term and document frequencies come from the same pass, so no separate IDF
     fit is needed; the smoothed idf is applied as an element-wise product.
     """
-    grams = term_stages(ngrams, tokens)
-    kept = vocabulary(PipelineModel(grams).transform(tokenised), max_features)
+    kept = vocabulary(PipelineModel(term_stages(ngrams, tokens)).transform(tokenised), max_features)
+    return weighting_stages(kept, documents, ngrams, tokens, out)
+
+
+def weighting_stages(kept: list, documents: int, ngrams: tuple[int, int], tokens: str = "tokens", out: str = "tfidf") -> list[Transformer]:
+    """The stages for known terms: rows (term, tf, df) of ``vocabulary``, the first of which are those of a narrower model."""
     counter = CountVectorizerModel.from_vocabulary([r["term"] for r in kept], "terms", "counts")
     idf = [math.log((1 + documents) / (1 + r["df"])) + 1 for r in kept]
     return [
-        *grams,
+        *term_stages(ngrams, tokens),
         counter,
         ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="counts", outputCol="weighted"),
         Normalizer(p=2.0, inputCol="weighted", outputCol=out),
