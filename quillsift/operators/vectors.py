@@ -100,24 +100,24 @@ def term_stages(ngrams: tuple[int, int], tokens: str = "tokens", out: str = "ter
     return [*stages, SQLTransformer(statement=f"SELECT *, concat({columns}) AS {out} FROM __THIS__")]
 
 
-def vocabulary(termed: DataFrame, max_features: int | None, terms: str = "terms") -> list:
-    """Rows (term, tf, df) of the most frequent terms, ties by term.
-
-    One explode carries both counts and is summed before the shuffle. The result
-    is the width of the model, which the driver holds: without ``max_features``
-    the terms are counted first, and too many of them are an error, not a cut.
-    """
+def term_counts(termed: DataFrame, by: list[str], terms: str = "terms") -> DataFrame:
+    """(by, term, tf, df): one explode carries both counts and is summed before the shuffle."""
     def mark(array: Column, tf: int, df: int) -> Column:
         return F.transform(
             array, lambda t: F.struct(t.alias("term"), F.lit(tf).alias("tf"), F.lit(df).alias("df"))
         )
 
     marks = F.concat(mark(F.col(terms), 1, 0), mark(F.array_distinct(terms), 0, 1))
-    counts = (
-        termed.select(F.inline(marks))
-        .groupBy("term")
-        .agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
-    )
+    return termed.select(*by, F.inline(marks)).groupBy(*by, "term").agg(F.sum("tf").alias("tf"), F.sum("df").alias("df"))
+
+
+def vocabulary(termed: DataFrame, max_features: int | None, terms: str = "terms") -> list:
+    """Rows (term, tf, df) of the most frequent terms, ties by term.
+
+    The result is the width of the model, which the driver holds: without ``max_features``
+    the terms are counted first, and too many of them are an error, not a cut.
+    """
+    counts = term_counts(termed, [], terms)
     if not max_features:
         counts = cut(counts)
         max_features = counts.count()
@@ -139,16 +139,12 @@ def tfidf_stages(
     Term and document frequencies come from the same pass, so no separate IDF
     fit is needed; the smoothed idf is applied as an element-wise product.
     """
-    kept = vocabulary(PipelineModel(term_stages(ngrams, tokens)).transform(tokenised), max_features)
-    return weighting_stages(kept, documents, ngrams, tokens, out)
-
-
-def weighting_stages(kept: list, documents: int, ngrams: tuple[int, int], tokens: str = "tokens", out: str = "tfidf") -> list[Transformer]:
-    """The stages for known terms: rows (term, tf, df) of ``vocabulary``, the first of which are those of a narrower model."""
+    grams = term_stages(ngrams, tokens)
+    kept = vocabulary(PipelineModel(grams).transform(tokenised), max_features)
     counter = CountVectorizerModel.from_vocabulary([r["term"] for r in kept], "terms", "counts")
     idf = [math.log((1 + documents) / (1 + r["df"])) + 1 for r in kept]
     return [
-        *term_stages(ngrams, tokens),
+        *grams,
         counter,
         ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="counts", outputCol="weighted"),
         Normalizer(p=2.0, inputCol="weighted", outputCol=out),
