@@ -214,10 +214,11 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, remove: str = "documents", text: str = "text", width: int = WIDTH) -> DataFrame:
     """``docs`` without contaminated documents, or (``remove="spans"``) without the hit spans of their texts."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string").alias("text"))
-    scanned = scan(rows, benchmark, "text", width)
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    scanned = scan(rows, benchmark, f"row.`{text}`", width)
     if remove == "documents":
         return scanned.where(F.size("hits.spans") == 0).select("row.*")
+    own = F.col(f"row.`{text}`")
     spans = F.transform("hits.spans", lambda s: named_span(s["start"], s["end"], F.lit("")))
-    left = F.when(F.size(spans) > 0, replaced(F.col("text"), spans)).otherwise(F.col(f"row.{text}"))
-    return scanned.withColumn("left", left).select(*[F.col("left").alias(c) if c == text else F.col(f"row.{c}") for c in docs.columns])
+    left = F.when(F.size(spans) > 0, replaced(own.cast("string"), spans)).otherwise(own)
+    return scanned.withColumn("left", left).select(*[F.col("left").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])

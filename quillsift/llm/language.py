@@ -202,5 +202,5 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text", into: str
 
 def keep_known(docs: DataFrame, net: Network | None, least: float = 0.35, text: str = "text") -> DataFrame:
     """``docs`` without texts of unknown language or a score below ``least``."""
-    scored = identify(docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text")), net)
+    scored = identify(docs.select(F.struct(*docs.columns).alias("row")), net, f"row.`{text}`")
     return scored.where(f"language.lang <> '{UNKNOWN}' and language.score >= {least}").select("row.*")

@@ -447,8 +447,8 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, field: Field | None, text: str = "text") -> DataFrame:
     """``docs`` with each span replaced by its kind in angle brackets; overlapping spans become one."""
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).cast("string").alias("text"))
-    scanned = scan(rows, field)
+    scanned = scan(docs.select(F.struct(*docs.columns).alias("row")), field, f"row.`{text}`")
+    own = F.col(f"row.`{text}`")
     spans = F.transform("pii.spans", lambda s: named_span(s["start"], s["end"], F.concat(F.lit("<"), s["kind"], F.lit(">"))))
-    left = F.when(F.size(spans) > 0, replaced(F.col("text"), spans)).otherwise(F.col(f"row.{text}"))
-    return scanned.withColumn("left", left).select(*[F.col("left").alias(c) if c == text else F.col(f"row.{c}") for c in docs.columns])
+    left = F.when(F.size(spans) > 0, replaced(own.cast("string"), spans)).otherwise(own)
+    return scanned.withColumn("left", left).select(*[F.col("left").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
