@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillsift.llm.spans import named_span, replaced
+from quillsift.llm.spans import cut
 
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = 1 + len(KINDS)
@@ -432,6 +432,22 @@ def personal_data(text: Column, field: Field | None) -> Column:
     return found(text.cast("string"))
 
 
+def redacted(text: Column, field: Field | None) -> Column:
+    """The text with its spans replaced, cut by the worker that finds them."""
+
+    @F.arrow_udf("string")
+    def hidden(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out, texts = [], batch.to_pylist()
+            for at in range(0, len(texts), TEXTS_AT_ONCE):
+                part = texts[at : at + TEXTS_AT_ONCE]
+                for own, (_, every) in zip(part, find(part, field)):
+                    out.append(cut(own, [{"start": s, "end": e, "name": f"<{KINDS[k]}>"} for k, s, e in every]))
+            yield pa.array(out, type=pa.string())
+
+    return hidden(text.cast("string"))
+
+
 def scan(docs: DataFrame, field: Field | None, text: str = "text", into: str = "pii") -> DataFrame:
     """``docs`` with a struct column ``into``."""
     return docs.withColumn(into, personal_data(F.col(text), field))
@@ -447,8 +463,6 @@ def digest(scanned: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, field: Field | None, text: str = "text") -> DataFrame:
     """``docs`` with each span replaced by its kind in angle brackets; overlapping spans become one."""
-    scanned = scan(docs.select(F.struct(*docs.columns).alias("row")), field, f"row.`{text}`")
-    own = F.col(f"row.`{text}`")
-    spans = F.transform("pii.spans", lambda s: named_span(s["start"], s["end"], F.concat(F.lit("<"), s["kind"], F.lit(">"))))
-    left = F.when(F.size(spans) > 0, replaced(own.cast("string"), spans)).otherwise(own)
-    return scanned.withColumn("left", left).select(*[F.col("left").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    left = rows.select("row", redacted(F.col(f"row.`{text}`"), field).alias("left"))
+    return left.select(*[F.col("left").alias(c) if c == text else F.col(f"row.`{c}`") for c in docs.columns])
