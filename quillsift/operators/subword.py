@@ -30,8 +30,8 @@ PRETOKEN = r"(?U)'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s
 FIRST_SYMBOL = 0x100
 ROUND_PAIRS = 256
 GUESSED_WORDS = 500_000
-FIRST_WINDOW, LARGEST_WINDOW = 256, 1024
-PENDING_MERGES = 2_000
+FIRST_WINDOW, LARGEST_WINDOW = 256, 2048
+PENDING_MERGES = 4_000
 INDEXED_SYMBOLS = 1 << 22
 ROWS_AT_ONCE = 100_000
 CACHED_WORDS = 1 << 17
