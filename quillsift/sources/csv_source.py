@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillsift.operators.prepare import union_sources
+from quillsift.sources import csv_ranges
 
 SCHEMA = "Body string, Label int"
 # Texts that also count as missing on request.
@@ -15,8 +16,11 @@ NULL_WORDS = [
 ]
 
 
+FORMAT = {"quote": '"', "escape": '"', "mode": "FAILFAST"}
+
+
 def _reader(spark: SparkSession):
-    return spark.read.options(header=True, multiLine=True, quote='"', escape='"', mode="FAILFAST")
+    return spark.read.options(header=True, multiLine=True, **FORMAT)
 
 
 def _body(pandas_nulls: bool) -> Column:
@@ -27,13 +31,14 @@ def _body(pandas_nulls: bool) -> Column:
 def read_file(spark: SparkSession, path: str, source: str | None = None, pandas_nulls: bool = False) -> DataFrame:
     """One CSV as raw messages; columns are taken by name, others are ignored.
 
-    Quoted line breaks keep a file in one task, whose running row number is
-    ``row_id``. Large sources belong in parquet or in a folder per source.
+    A file is read by many tasks, quoted line breaks or not; ``row_id`` is the number of the record. In a folder
+    all files have the columns of one.
     """
     name = source if source is not None else path.rstrip("/").rsplit("/", 1)[-1].removesuffix(".csv")
-    return _reader(spark).csv(path).select(
+    rows = csv_ranges.read(spark, path, _reader(spark).csv(path).columns, FORMAT)
+    return rows.select(
         F.lit(name).alias("Source"),
-        F.monotonically_increasing_id().alias("row_id"),
+        "row_id",
         _body(pandas_nulls).alias("Body"),
         F.col("Label").cast("int").alias("Label"),
     )
