@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillsift.operators.order_stats import quantiles
 from quillsift.session import cut
 
 CELL = ["users", "batch_size"]
+POINTS = {"median_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}
+#: A sketched percentile's rank is off by at most 1 / ACCURACY of the rows.
+ACCURACY = 10_000
 
 
 def request_summary(log: DataFrame) -> DataFrame:
@@ -74,3 +77,56 @@ def request_windows(log: DataFrame, length: str = "1 day") -> DataFrame:
         F.avg("response_ms").alias("mean_ms"),
         F.max("response_ms").alias("max_ms"),
     ).select(F.col("window.start").alias("start"), "requests", "failures", "mean_ms", "max_ms")
+
+
+def _with_rates(windows: DataFrame) -> DataFrame:
+    """Requests and failures per second of the window's whole length."""
+    seconds = (F.unix_micros(F.col("window.end").cast("timestamp")) - F.unix_micros(F.col("window.start").cast("timestamp"))) / 1e6
+    return windows.withColumns({"rps": F.col("requests") / seconds, "failures_per_s": F.col("failures") / seconds})
+
+
+def request_percentile_windows(log: DataFrame, length: str = "1 day") -> DataFrame:
+    """Requests, failures, both per second, and exact response percentiles per time window.
+
+    Response times are counted per window first and the percentiles taken from slices, so a window that holds most
+    of the log is no single task's work. Requests without a time are in no window; a window without
+    any response time has null percentiles.
+    """
+    timed = log.select(F.window("ts", length).alias("window"), "response_ms", "failed")
+    counts = cut(timed.groupBy("window", "response_ms").agg(F.count("*").alias("n"), F.sum("failed").alias("failed")))
+    totals = counts.groupBy("window").agg(F.sum("n").alias("requests"), F.sum("failed").cast("bigint").alias("failures"))
+    points = quantiles(counts.where("response_ms is not null").select("window", "response_ms", "n"), ["window"], "response_ms", "n", list(POINTS.values()))
+    return _with_rates(totals.join(points, ["window"], "left")).select(
+        F.col("window.start").alias("start"), "requests", "failures", "rps", "failures_per_s",
+        *[F.col("quantiles")[i].alias(name) for i, name in enumerate(POINTS)],
+    )
+
+
+def sketched_percentile_windows(log: DataFrame, length: str = "1 day") -> DataFrame:
+    """The same on a stream: the state of a window is one mergeable sketch, and percentiles are values that occurred."""
+    sketch = F.percentile_approx("response_ms", list(POINTS.values()), ACCURACY).alias("points")
+    windows = log.groupBy(F.window("ts", length).alias("window")).agg(
+        F.count("*").alias("requests"), F.sum("failed").cast("bigint").alias("failures"), sketch
+    )
+    return _with_rates(windows).select(
+        F.col("window.start").alias("start"), "requests", "failures", "rps", "failures_per_s",
+        *[F.col("points")[i].alias(name) for i, name in enumerate(POINTS)],
+    )
+
+
+def percentiles_within(sketched: DataFrame, log: DataFrame, length: str = "1 day", slack: float = 1 / ACCURACY) -> DataFrame:
+    """(start, one flag per percentile): does its value hold a rank within ``slack`` of the rows, or one rank, of the exact one?"""
+    timed = log.select(F.window("ts", length)["start"].alias("start"), "response_ms").where("response_ms is not null")
+    counted = timed.groupBy("start", "response_ms").agg(F.count("*").alias("n"))
+    both = counted.join(sketched.select("start", *POINTS), "start")
+    sums = both.groupBy("start").agg(
+        F.sum("n").alias("rows"),
+        *[F.sum(F.when(F.col("response_ms") < F.col(p), F.col("n")).otherwise(0)).alias(f"below_{p}") for p in POINTS],
+        *[F.sum(F.when(F.col("response_ms") <= F.col(p), F.col("n")).otherwise(0)).alias(f"upto_{p}") for p in POINTS],
+    )
+
+    def near(name: str, share: float) -> Column:
+        room = F.col("rows") * slack + 1
+        return (F.col(f"below_{name}") <= share * F.col("rows") + room) & (F.col(f"upto_{name}") >= share * F.col("rows") - room)
+
+    return sums.select("start", *[near(name, share).alias(name) for name, share in POINTS.items()])

@@ -129,9 +129,9 @@ def ranked_sql(relation: str, group: str, value: str, label: str) -> str:
   FROM {relation})"""
 
 
-def rates_sql(relation: str, group: str) -> str:
+def rates_sql(relation: str, group: str, threshold: float = P.THRESHOLD) -> str:
     """Confusion counts and metrics per group of a relation with Label and score."""
-    called = f"score >= {P.THRESHOLD}"
+    called = f"score >= {threshold}"
     return f"""{ranked_sql(relation, group, 'score', 'Label')},
 areas AS (SELECT {group}, {AREA} AS roc_auc FROM ranked GROUP BY {group}),
 cells AS (
@@ -415,6 +415,15 @@ inside AS (
     out["metrics_pivot"] = crossed + f"SELECT dataset, {rates} FROM metrics"
     ruled = with_(*FULL, RULE, rates_sql("rule", "Source"))
     out["evaluate_scores"] = ruled + f"SELECT Source, {rates}, {P.THRESHOLD}::DOUBLE AS threshold, tn, fp, fn, tp FROM metrics"
+    whole = "whole AS (SELECT Source, false AS overall, row_id, Label, score FROM rule UNION ALL SELECT 'all', true, row_id, Label, score FROM rule)"
+    out["evaluate_overall"] = with_(*FULL, RULE, whole, rates_sql("whole", "Source, overall")) + (
+        f"SELECT Source, overall, {rates}, {P.THRESHOLD}::DOUBLE AS threshold, tn, fp, fn, tp FROM metrics"
+    )
+    terms = " + ".join(f"{w} * {c}" for c, w in P.OUTSIDE.items())
+    outside = f"outside AS (SELECT Source, row_id, Label, 1 / (1 + exp(-({P.OUTSIDE_BIAS} + {terms}))) AS score FROM featured)"
+    out["outside_scores"] = with_(*FULL, outside, rates_sql("outside", "Source", 0.5)) + (
+        f"SELECT Source, {rates}, 0.5::DOUBLE AS threshold, tn, fp, fn, tp FROM metrics"
+    )
     out["error_rates"] = ruled + (
         "SELECT Source, tn, fp, fn, tp, round(coalesce(fp / nullif(tn + fp, 0)::DOUBLE, 0), 6) AS false_positive_rate, "
         "round(coalesce(fn / nullif(fn + tp, 0)::DOUBLE, 0), 6) AS false_negative_rate FROM metrics"
@@ -466,6 +475,18 @@ SELECT Source, class, round(precision, 6) AS precision, round(recall, 6) AS reca
     )
     out["request_windows"] = windows
     out["stream_request_windows"] = windows
+    rates_of = "round(requests / 86400.0, 6) AS rps, round(failures / 86400.0, 6) AS failures_per_s"
+    daily = with_(REQUESTS, """daily AS (
+  SELECT time_bucket(INTERVAL 1 DAY, ts) AS start, count(*) AS requests, sum(failed)::BIGINT AS failures,
+         quantile_cont(response_ms, 0.5) AS median_ms, quantile_cont(response_ms, 0.95) AS p95_ms,
+         quantile_cont(response_ms, 0.99) AS p99_ms
+  FROM requests WHERE ts IS NOT NULL GROUP BY 1)""")
+    out["request_percentile_windows"] = daily + (
+        f"SELECT start, requests, failures, {rates_of}, {rounded('median_ms', 'p95_ms', 'p99_ms')} FROM daily"
+    )
+    out["stream_percentile_windows"] = daily + (
+        f"SELECT start, requests, failures, {rates_of}, true AS median_ms, true AS p95_ms, true AS p99_ms FROM daily"
+    )
     out["stream_dedup"] = (
         "SELECT sha256(text) AS digest FROM (SELECT DISTINCT concat(role, ' ', text) AS text FROM conversations)"
     )

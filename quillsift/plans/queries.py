@@ -16,7 +16,7 @@ from quillsift.operators import bayes, evaluate as ev, features as ft, linear as
 from quillsift.operators import request_log as rl, split as sp, subword as sw, vectors as vc
 from quillsift.operators.neural import fit_neural
 from quillsift.operators.prepare import KEY
-from quillsift.operators.score import score_inputs
+from quillsift.operators.score import score_inputs, scored_by
 from quillsift.operators.search import random_search as search
 from quillsift.plans import settings as P
 from quillsift.plans.experiment import classic_train, prepare_experiment
@@ -376,6 +376,29 @@ def evaluate_scores(spark, folder):
     return rounded(rule_metrics(spark, folder), *ev.METRICS)
 
 
+@query
+def evaluate_overall(spark, folder):
+    return rounded(ev.evaluate_overall(rule_scores(spark, folder), "Source", threshold=P.THRESHOLD), *ev.METRICS)
+
+
+@query
+def outside_scores(spark, folder):
+    """A numpy function as the model, measured like any other."""
+    weights, bias = P.OUTSIDE, P.OUTSIDE_BIAS
+
+    def load():
+        import numpy as np
+
+        def model(upper, exclaims, digits):
+            return 1 / (1 + np.exp(-bias - sum(w * c for w, c in zip(weights.values(), (upper, exclaims, digits)))))
+
+        return model
+
+    featured = featured_messages(spark, folder).select(*KEY, "Label", *[F.col(c).cast("double").alias(c) for c in weights])
+    scored = scored_by(featured, load, list(weights), [*KEY, "Label"])
+    return rounded(ev.evaluate(scored, ["Source"]), *ev.METRICS)
+
+
 @query
 def class_report(spark, folder):
     report = ev.class_report(rule_metrics(spark, folder), ["Source"])
@@ -449,6 +472,22 @@ def stream_request_windows(spark, folder):
     return rounded(table.withColumn("start", F.col("start").cast("timestamp_ntz")), "mean_ms")
 
 
+@query
+def request_percentile_windows(spark, folder):
+    windows = rl.request_percentile_windows(tables.request_log(spark, folder))
+    return rounded(windows, "rps", "failures_per_s", *rl.POINTS)
+
+
+@query
+def stream_percentile_windows(spark, folder):
+    """Windows of the stream; a flag per percentile says whether its rank is within the sketch's error of the exact one."""
+    log = st.with_event_time(tables.as_requests(st.table_stream(spark, folder, "events")))
+    table = st.drain_complete(rl.sketched_percentile_windows(log), "percentiles")
+    table = table.withColumn("start", F.col("start").cast("timestamp_ntz"))
+    near = rl.percentiles_within(table, tables.request_log(spark, folder))
+    return rounded(table.drop(*rl.POINTS).join(near, "start"), "rps", "failures_per_s")
+
+
 # Sub-word vocabulary. What several queries need is made once per session and folder.
 
 
