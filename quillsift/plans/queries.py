@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from quillsift.functions import text as T
 from quillsift.operators import bayes, evaluate as ev, features as ft, linear as ln, prepare as pr, profile as pf
 from quillsift.operators import request_log as rl, split as sp, subword as sw, vectors as vc
+from quillsift.operators.network import fit_network
 from quillsift.operators.neural import fit_neural
 from quillsift.operators.prepare import KEY
 from quillsift.operators.score import score_inputs, scored_by
@@ -614,6 +615,14 @@ def neural_scores(spark, folder):
     return model.score(test, [*KEY, "Label"])
 
 
+@query
+def network_scores(spark, folder):
+    """The network with class weights, stopped by its hold-out."""
+    table, subwords, features = training(spark, folder)
+    _, test, _ = experiment(spark, folder)
+    return fit_network(table, subwords, features).score(test, [*KEY, "Label"])
+
+
 @query
 def train_report(spark, folder):
     """Rows trained and judged; the record itself is in the run folder."""
