@@ -2,7 +2,7 @@
 
 Both branches meet in a multilayer perceptron of Spark ML. It is no recurrent
 network: the order of the tokens is averaged out, and its trainer takes no
-class weights.
+class weights; ``network`` has its own.
 """
 
 from __future__ import annotations

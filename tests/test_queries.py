@@ -12,7 +12,8 @@ FAST = [
     "length_percentiles", "stratified_split", "validation_split", "cv_folds", "fixed_sample", "class_weights",
     "scaled_features", "word_tfidf", "naive_bayes_scores", "evaluate_scores", "class_report", "run_ranking",
     "request_summary", "request_pivot", "request_peak", "sweep_grid", "request_windows",
-    "stream_request_windows", "stream_dedup", "csv_roundtrip",
+    "stream_request_windows", "stream_dedup", "csv_roundtrip", "evaluate_overall", "outside_scores",
+    "request_percentile_windows", "stream_percentile_windows",
 ]
 
 
