@@ -67,6 +67,20 @@ def test_bad_guesses_and_short_reports_change_nothing(texts, model, monkeypatch,
     assert sw.learn(texts, vocab_size=280).merges == model.merges[: 280 - 258]
 
 
+def test_few_jobs_though_most_words_are_not_guessed_from(spark, monkeypatch):
+    rng = random.Random(8)
+    parts = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 4))) for _ in range(60)]
+    lines = [" ".join("".join(rng.choices(parts, range(60, 0, -1), k=rng.randint(1, 4))) for _ in range(40)) for _ in range(120)]
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, text string")
+    jobs, collected = [], sw._collected
+    monkeypatch.setattr(sw, "_collected", lambda rows: jobs.append(1) or collected(rows))
+    monkeypatch.setattr(sw, "GUESSED_WORDS", 300)
+    model = sw.learn(df, vocab_size=700)
+    tokenizer = library(lines, 700)
+    assert tokenizer.get_vocab() == {token: i for i, token in enumerate(model.tokens)}
+    assert len(jobs) <= 20, len(jobs)
+
+
 def test_min_frequency_stops_early(texts):
     tokenizer = library(TEXTS, 400, min_frequency=5)
     assert tokenizer.get_vocab_size() == len(sw.learn(texts, vocab_size=400, min_frequency=5).tokens)
