@@ -87,6 +87,30 @@ def test_tuning_picks_from_the_grid(spark, raw, tmp_path):
     assert model.params["C"] in grid["C"] and 0 <= record.first()["best_cv_f1"] <= 1
 
 
+def test_steps_of_a_fit_carry_no_vocabulary(spark, monkeypatch):
+    """Every step sends the plan of its vectors: neither stages nor a name per term belong there."""
+    rows = [("one", i, i % 2, (SPAM if i % 2 else HAM)[i % 4].split(), float(i), 1.0) for i in range(40)]
+    table = spark.createDataFrame(rows, "Source string, row_id long, Label int, tokens array<string>, f double, weight double")
+    seen, plain = [], ln.regression
+
+    class Watched:
+        def __init__(self, *given):
+            self.inner = plain(*given)
+
+        def fit(self, vectors):
+            seen.append(vectors)
+            return self.inner.fit(vectors)
+
+    monkeypatch.setattr(ln, "regression", lambda *given: Watched(*given))
+    monkeypatch.setattr(search, "regression", lambda *given: Watched(*given))
+    ln.fit_linear(table, sw.Subwords([], []), ["f"], max_iter=5)
+    search.random_search(table, ["f"], {"C": {"type": "choice", "values": [1.0]}}, trials=1, max_iter=5)
+    assert len(seen) == 2
+    for vectors in seen:
+        assert vectors.schema["features"].metadata == {} and vectors.inputFiles()
+        assert sum(row["weight"] for row in vectors.collect()) == pytest.approx(vectors.count())
+
+
 def tokenised(spark, lines):
     return spark.createDataFrame([(i, line.split()) for i, line in enumerate(lines)], "id long, tokens array<string>")
 
