@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillsift.functions import text as T
-from quillsift.operators import prepare as pr
+from quillsift.operators import features, prepare as pr
+from quillsift.plans import queries
 
 RAW = "Source string, row_id long, Body string, Label int"
 
@@ -88,3 +89,15 @@ def test_blanks_match_python(spark):
     ).first()
     assert row[0] == len(text.split())
     assert row[1] == text.strip()
+
+
+def test_training_rows_are_searched_for_varying_features_once(spark, tmp_path, monkeypatch):
+    texts = [(i, f"{'Win' * (i % 3)} text {i}{'!' * (i % 4)}", "en") for i in range(40)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    searched, plain = [], features.spread
+    monkeypatch.setattr(features, "spread", lambda rows, names: searched.append(names) or plain(rows, names))
+    found = [r["feature"] for r in queries.QUERIES["varying_features"](spark, str(tmp_path)).collect()]
+    assert len(searched) == 1
+    train, _, names = queries.experiment(spark, str(tmp_path))
+    assert found == names == [c for c in features.FEATURES if train.select(c).distinct().count() > 1]
