@@ -1,8 +1,9 @@
 """Byte-level BPE by ranked merges, in Spark's higher-order functions.
 
-Method: a word is the array of its bytes' ids. A fold over the word's length replaces, in each step, the
-leftmost neighbours of the lowest rank by their merge, as a rank file asks; ranks come from a literal map
-from pairs to merges, cut into hash buckets so that a look-up reads a few entries. Texts are cut into words
+Method: a word is a string with one symbol per id, its bytes at first. A fold over the word's length replaces, in
+each step, the leftmost neighbours of the lowest rank by their merge, as a rank file asks; ranks come from a literal
+map from pairs to merges, cut into hash buckets so that a look-up reads a few entries. Symbols and ranks are strings
+because Spark cuts and joins strings much faster than arrays. Texts are cut into words
 by the JVM's regular expressions. The ``FREQUENT`` commonest distinct words of a bounded sample of the
 texts are folded once and travel as a second literal; any other word is folded where it stands, so no token
 is ever shuffled. Which words are folded ahead decides the time, never the ids. Words longer than
@@ -25,6 +26,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -38,14 +40,16 @@ from quillsift.session import written
 SAMPLE = 20_000
 FREQUENT = 1 << 19
 LONGEST = 256
-#: Buckets of pairs, a prime so that left * 31 + right spreads, and of words.
-PAIR_BUCKETS, WORD_BUCKETS = 16_381, 1 << 17
-PAIR = 1 << 32
+#: Buckets of pairs and of words; that of words is a power of two.
+PAIR_BUCKETS, WORD_BUCKETS = 1 << 15, 1 << 17
+#: Ends of a word while it is folded, and the rank of neighbours that make no token, behind all symbols.
+EDGE, NO_RANK = "\x01", "\U0010ffff"
 #: In a bucket of words each is OPEN, word, CLOSE, ids as symbols.
 OPEN, CLOSE, BORDER = "\x01", "\x02", "\x03"
 #: Characters of a plan's text that the driver keeps; it would hold the literals of every execution.
 PLAN_TEXT = 1 << 16
 FIRST_SYMBOL, SURROGATES, SKIPPED = 0x100, 0xD800, 0x800
+LATIN = "".join(map(chr, range(256)))
 
 
 @dataclass(frozen=True)
@@ -117,7 +121,7 @@ def short_plans(spark: SparkSession) -> None:
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed, and written in the plan, once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.aggregate(F.array().cast("array<int>"), value, lambda known, _: known, body)
 
 
 def _strings(values: list[str]) -> Column:
@@ -126,16 +130,17 @@ def _strings(values: list[str]) -> Column:
 
 
 def _rank_map(ranks: Ranks) -> Column:
-    """array<map<bigint,int>>: pair to rank, in hash buckets. JSON knows maps of string keys only."""
-    buckets: list[dict[str, int]] = [{} for _ in range(PAIR_BUCKETS)]
+    """array<map<string,string>>: pair of symbols to the symbol of its merge, in buckets by CRC-32."""
+    buckets: list[dict[str, str]] = [{} for _ in range(PAIR_BUCKETS)]
     for (left, right), rank in ranks.merges.items():
-        buckets[(left * 31 + right) % PAIR_BUCKETS][str(left * PAIR + right)] = rank
-    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,int>>").cast("array<map<bigint,int>>")
+        pair = symbol(left) + symbol(right)
+        buckets[zlib.crc32(pair.encode()) % PAIR_BUCKETS][pair] = symbol(rank)
+    return F.from_json(F.lit(json.dumps(buckets)), "array<map<string,string>>")
 
 
-def _byte_ids(ranks: Ranks) -> Column:
+def _byte_symbols(ranks: Ranks) -> str:
     place = {piece: i for i, piece in enumerate(ranks.pieces) if len(piece) == 1}
-    return F.from_json(F.lit(json.dumps([place[bytes([b])] for b in range(256)])), "array<int>")
+    return "".join(symbol(place[bytes([b])]) for b in range(256))
 
 
 def words_of(text: Column, pattern: str) -> Column:
@@ -143,64 +148,71 @@ def words_of(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text.cast("string"), F.lit("")), F.lit(pattern), F.lit(0))
 
 
-def fold(word: Column, of_bytes: Column, rank_map: Column) -> Column:
-    """Ids of one word: as many steps as the word has neighbours, each doing the best merge or none.
+def fold(word: Column, of_bytes: str, rank_map: Column) -> Column:
+    """Symbols of one word: as many steps as the word has bytes, each doing the best merge or none.
 
-    A step looks up the two pairs that its merge makes; the others keep their ranks.
+    ``ranks`` has one symbol per pair of neighbours: the merge's, or NO_RANK. Symbols sort as their ids, which are the
+    ranks. A step looks up the two pairs that its merge makes; the others keep their ranks.
     """
-    all_left = F.lit(1 << 30)
 
-    def rank(left: Column, right: Column) -> Column:
-        bucket = F.element_at(rank_map, (left * 31 + right) % PAIR_BUCKETS + 1)
-        return F.try_element_at(bucket, left.cast("long") * F.lit(PAIR) + right)
+    def rank(pair: Column) -> Column:
+        bucket = F.get(rank_map, F.crc32(pair.cast("binary")) % PAIR_BUCKETS)
+        return F.coalesce(F.try_element_at(bucket, pair), F.lit(NO_RANK))
 
-    def state(ids: Column, ranks: Column) -> Column:
-        return let(ranks, lambda ranks: F.struct(ids.alias("ids"), ranks.alias("ranks"), F.array_min(ranks).alias("best")))
+    def state(signs: Column, ranks: Column, each: Column) -> Column:
+        return F.struct(signs.alias("signs"), ranks.alias("ranks"), F.array_min(each).alias("best"))
+
+    def begin(signs: Column) -> Column:
+        pairs = F.sequence(F.lit(1), F.char_length(signs) - 1)
+        each = F.transform(pairs, lambda i: rank(F.substring(signs, i, F.lit(2))))
+        return let(each, lambda each: state(signs, F.array_join(each, ""), each))
 
     def merge(done: Column, p: Column) -> Column:
-        ids, ranks, best = done["ids"], done["ranks"], done["best"]
-        nothing, behind = F.array().cast("array<int>"), F.slice(ranks, p + 1, all_left)
-        before = F.when(p > 1, F.concat(F.slice(ranks, F.lit(1), p - 2), F.array(rank(F.get(ids, p - 2), best)))).otherwise(nothing)
-        later = F.when(F.size(behind) > 0, F.concat(F.array(rank(best, F.get(ids, p + 1))), F.slice(behind, F.lit(2), all_left)))
-        merged = F.concat(F.slice(ids, F.lit(1), p - 1), F.array(best), F.slice(ids, p + 2, all_left))
-        return state(merged, F.concat(before, later.otherwise(nothing)))
+        def ranked(signs: Column) -> Column:
+            before = F.overlay(done["ranks"], rank(F.substring(signs, p - 1, F.lit(2))), p - 1, F.lit(2))
+            ranks = F.overlay(before, rank(F.substring(signs, p, F.lit(2))), p, F.lit(1))
+            return let(ranks, lambda ranks: state(signs, ranks, F.split(ranks, "")))
+
+        return let(F.overlay(done["signs"], done["best"], p, F.lit(2)), ranked)
 
     def step(done: Column, _: Column) -> Column:
-        place = F.array_position(done["ranks"], done["best"]).cast("int")
-        return F.when(done["best"].isNull(), done).otherwise(let(place, lambda p: merge(done, p)))
+        place = F.instr(done["ranks"], done["best"])
+        return F.when(done["best"] == NO_RANK, done).otherwise(let(place, lambda p: merge(done, p)))
 
-    codes = F.split(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), "")
-    ids = F.transform(codes, lambda c: F.element_at(of_bytes, F.ascii(c) + 1))
-    start = let(ids, lambda ids: state(ids, F.zip_with(F.slice(ids, F.lit(1), F.size(ids) - 1), F.slice(ids, F.lit(2), all_left), rank)))
-    return F.aggregate(F.sequence(F.lit(1), F.octet_length(word)), start, step, lambda done: done["ids"])
+    signs = F.translate(F.decode(F.encode(word, "UTF-8"), "ISO-8859-1"), LATIN, of_bytes)
+    start = let(F.concat(F.lit(EDGE), signs, F.lit(EDGE)), begin)
+    return F.aggregate(
+        F.sequence(F.lit(1), F.octet_length(word)), start, step,
+        lambda done: F.substring(done["signs"], F.lit(2), F.char_length(done["signs"]) - 2),
+    )
 
 
 def _folded(ranks: Ranks, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
-    """``body`` with a function from a word to its ids as symbols; the literals are written once."""
-    signs = _strings([symbol(i) for i in range(len(ranks.pieces))])
-
-    def as_symbols(word: Column, of_bytes: Column, rank_map: Column, signs: Column) -> Column:
-        return F.array_join(F.transform(fold(word, of_bytes, rank_map), lambda i: F.element_at(signs, i + 1)), "")
-
-    return let(_byte_ids(ranks), lambda b: let(_rank_map(ranks), lambda m: let(signs, lambda s: body(lambda word: as_symbols(word, b, m, s)))))
+    """``body`` with a function from a word to its ids as symbols; the literal is written once."""
+    of_bytes = _byte_symbols(ranks)
+    return let(_rank_map(ranks), lambda rank_map: body(lambda word: fold(word, of_bytes, rank_map)))
 
 
 def _bucket(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(WORD_BUCKETS)).cast("int")
+    return F.xxhash64(word).bitwiseAND(WORD_BUCKETS - 1)
 
 
 def frequent_words(docs: DataFrame, text: str, ranks: Ranks, pattern: str, frequent: int = FREQUENT, sample: int = SAMPLE) -> list[str]:
-    """The commonest words with their ids, in WORD_BUCKETS buckets; both bounds are parameters."""
+    """The commonest words with their ids, in WORD_BUCKETS buckets; both bounds are parameters.
+
+    A look-up reads its bucket from the end, so the commonest word stands last.
+    """
     share = min(1.0, sample / max(1, docs.count()))
     chosen = docs.select(text).sample(share, seed=1) if share < 1 else docs.select(text)
     counted = chosen.select(F.explode(words_of(F.col(text), pattern)).alias("word")).groupBy("word").count()
     fit = (F.octet_length("word") <= LONGEST) & ~F.col("word").rlike(f"[{OPEN}{CLOSE}{BORDER}]")
-    top = written(counted.where(fit).orderBy(F.desc("count"), "word").limit(frequent).select("word"), "words")
+    top = written(counted.where(fit).orderBy(F.desc("count"), "word").limit(frequent), "words")
     # A limit leaves one partition; the fold deserves all cores.
     parts = max(1, docs.sparkSession.sparkContext.defaultParallelism)
-    done = top.repartition(parts, "word").select("word", _folded(ranks, lambda ids_of: ids_of(F.col("word"))).alias("ids"))
+    done = top.repartition(parts, "word").select("word", "count", _folded(ranks, lambda ids_of: ids_of(F.col("word"))).alias("ids"))
     entry = F.concat(F.lit(OPEN), F.col("word"), F.lit(CLOSE), F.col("ids"))
-    found = done.groupBy(_bucket(F.col("word")).alias("at")).agg(F.array_join(F.sort_array(F.collect_list(entry)), "").alias("entries"))
+    entries = F.sort_array(F.collect_list(F.struct("count", entry.alias("entry"))))["entry"]
+    found = done.groupBy(_bucket(F.col("word")).alias("at")).agg(F.array_join(entries, "").alias("entries"))
     buckets = [""] * WORD_BUCKETS
     for row in found.toLocalIterator():
         buckets[row["at"]] = row["entries"]
@@ -222,26 +234,40 @@ def encode(docs: DataFrame, ranks: Ranks, pattern: str, text: str = "text", into
             yield batch.map(lambda words: ["".join(map(symbol, merge_all([singles.value[b] for b in word.encode()], merges.value))) for word in words])
 
     others = [c for c in docs.columns if c != into]
-    row = docs.select(F.struct(*others).alias("row"), words_of(F.col(text), pattern).alias("words"))
+    # Whether the text holds the sign that begins an entry.
+    marked = F.contains(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(OPEN))
+    row = docs.select(F.struct(*others).alias("row"), words_of(F.col(text), pattern).alias("words"), marked.alias("marked"))
     long = F.array_distinct(F.filter("words", lambda w: F.octet_length(w) > LONGEST))
     row = row.withColumn("long", long).withColumn("merged", merged("long"))
+    row = row.withColumn("odd", F.col("marked") | (F.size("long") > 0))
     known = _strings(frequent_words(docs, text, ranks, pattern, frequent))
 
     def looked_up(word: Column, buckets: Column) -> Column:
-        bucket = F.element_at(buckets, _bucket(word) + 1)
-        behind = F.call_function("substring_index", bucket, F.concat(F.lit(OPEN), word, F.lit(CLOSE)), F.lit(-1))
+        # The word put between the two signs, which costs less than a concatenation of three.
+        entry = F.overlay(F.lit(OPEN + CLOSE), word, F.lit(2), F.lit(0))
+        behind = F.call_function("substring_index", F.get(buckets, _bucket(word)), entry, F.lit(-1))
         return F.substring_index(behind, OPEN, 1)
 
+    def plain(word: Column, buckets: Column, ids_of: Callable[[Column], Column]) -> Column:
+        return let(looked_up(word, buckets), lambda ids: F.when(ids != "", ids).otherwise(ids_of(word)))
+
     def found(word: Column, buckets: Column, ids_of: Callable[[Column], Column]) -> Column:
         one = F.when(F.octet_length(word) > LONGEST, F.get(F.col("merged"), F.array_position(F.col("long"), word).cast("int") - 1))
-        one = one.when(F.contains(word, F.lit(OPEN)), ids_of(word))
-        return one.otherwise(let(looked_up(word, buckets), lambda ids: F.when(ids != "", ids).otherwise(ids_of(word))))
+        return one.when(F.contains(word, F.lit(OPEN)), ids_of(word)).otherwise(plain(word, buckets, ids_of))
+
+    def joined(buckets: Column, ids_of: Callable[[Column], Column]) -> Column:
+        # Few texts have words that need more than a look-up.
+        simple = F.array_join(F.transform("words", lambda w: plain(w, buckets, ids_of)), "")
+        return F.when(F.col("odd"), F.array_join(F.transform("words", lambda w: found(w, buckets, ids_of)), "")).otherwise(simple)
 
-    signs = let(known, lambda buckets: _folded(ranks, lambda ids_of: F.array_join(F.transform("words", lambda w: found(w, buckets, ids_of)), "")))
+    signs = let(known, lambda buckets: _folded(ranks, lambda ids_of: joined(buckets, ids_of)))
     row = row.select("row", signs.alias("signs"))
 
     def number(sign: Column) -> Column:
-        return let(F.ascii(sign), lambda code: F.when(code < SURROGATES, code).otherwise(code - SKIPPED) - FIRST_SYMBOL)
+        code = F.ascii(sign)
+        if FIRST_SYMBOL + len(ranks.pieces) <= SURROGATES:
+            return code - FIRST_SYMBOL
+        return F.when(code < SURROGATES, code).otherwise(code - SKIPPED) - FIRST_SYMBOL
 
     ids = F.when(F.col("signs") == "", F.array().cast("array<int>")).otherwise(F.transform(F.split("signs", ""), number))
     return row.select("row.*", ids.alias(into))

@@ -69,3 +69,40 @@ def test_the_heap_takes_the_leftmost_of_the_lowest_rank():
     assert B.merge_all([0] * 5, merges) == [3, 4]
     assert B.merge_all([0] * 4, merges) == [5]
     assert B.merge_all([], merges) == [] and B.merge_all([1], merges) == [1]
+
+
+def test_a_look_up_meets_the_commonest_word_of_a_bucket_first(spark, ranks, monkeypatch):
+    monkeypatch.setattr(B, "WORD_BUCKETS", 1)
+    docs = spark.createDataFrame([("a b b",), ("zz b a a a a",)], "text string")
+    (bucket,) = B.frequent_words(docs, "text", ranks, r"\S+")
+    words = [entry.split(B.CLOSE)[0] for entry in bucket.split(B.OPEN)[1:]]
+    assert words == ["zz", "b", "a"]
+    got = B.encode(docs, ranks, r"\S+").orderBy("text").collect()
+    assert [row["ids"] for row in got] == [[i for c in text.split() for i in expected(ranks, c)] for text in ("a b b", "zz b a a a a")]
+
+
+def expected(ranks, word):
+    single = {piece[0]: i for i, piece in enumerate(ranks.pieces) if len(piece) == 1}
+    return B.merge_all([single[b] for b in word.encode()], ranks.merges)
+
+
+def test_the_fold_cuts_strings_not_arrays(spark, ranks):
+    """An array cut or joined costs the interpreter many times a string's cut."""
+    words = [" unwholesomeness", "aaaaa", "ÄÖÜß", "日本語日本", "𝔘𝔫𝔦", "\x01\x02\x03", "x", "-" * 99, " \u00a0\u3000"]
+    table = spark.createDataFrame([(w,) for w in words], "word string")
+    folded = table.select("word", B._folded(ranks, lambda ids_of: ids_of(F.col("word"))).alias("signs"))
+    assert "slice(" not in folded._jdf.queryExecution().analyzed().toString()
+    for row in folded.collect():
+        assert row["signs"] == "".join(map(B.symbol, expected(ranks, row["word"])))
+
+
+def test_the_fold_knows_ids_on_both_sides_of_the_surrogates(spark):
+    far = B.SURROGATES - B.FIRST_SYMBOL
+    pieces = [bytes([b]) for b in range(256)] + [b""] * far
+    for rank, piece in ((far - 1, b"bc"), (far, b"ab"), (far + 1, b"aab")):
+        pieces[rank] = piece
+    ranks = B.Ranks(pieces, {(98, 99): far - 1, (97, 98): far, (97, far): far + 1})
+    docs = spark.createDataFrame([("abc aab ab",), ("aabc",)], "text string")
+    for frequent in (1, 9):
+        got = B.encode(docs, ranks, r"\S+", frequent=frequent).orderBy("text").collect()
+        assert [row["ids"] for row in got] == [[97, 97, far - 1], [97, far - 1, far + 1, far]]
