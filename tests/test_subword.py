@@ -1,9 +1,11 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quillsift.operators import subword as sw
+from quillsift.operators.pair_index import PairIndex, pair_key
 
 TEXTS = [
     "Hello world, it's me!", "emoji 😀😃 and 👩‍👩‍👧", "café naïve Ångström", "漢字かな交じり文", "tab\tand\nnewline\r\n",
@@ -81,6 +83,38 @@ def test_few_jobs_though_most_words_are_not_guessed_from(spark, monkeypatch):
     assert len(jobs) <= 20, len(jobs)
 
 
+def test_guesses_come_from_the_parts_that_rare_words_share(spark, monkeypatch):
+    rng = random.Random(9)
+    parts = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 4))) for _ in range(60)]
+    lines = []
+    for _ in range(300):
+        common = ["".join(rng.choices(parts, range(60, 0, -1), k=2)) for _ in range(10)]
+        rare = [rng.choice(parts) + "".join(rng.choices("ijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", k=6)) for _ in range(30)]
+        lines.append(" ".join(common + rare))
+    df = spark.createDataFrame(list(enumerate(lines)), "id long, text string")
+    taken, made = [], sw.Guesser.__init__
+    monkeypatch.setattr(sw.Guesser, "__init__", lambda self, words, counts: taken.append(len(words)) or made(self, words, counts))
+    monkeypatch.setattr(sw, "GUESSED_WORDS", 2500)
+    monkeypatch.setattr(sw, "FIRST_RETAKE", 32)
+    model = sw.learn(df, vocab_size=500)
+    tokenizer = library(lines, 500)
+    assert tokenizer.get_vocab() == {token: i for i, token in enumerate(model.tokens)}
+    # Of 11,000 words only a part was known at first; all their frequent parts fit.
+    assert 2000 < taken[0] <= 2500 and taken[1] < 2000
+
+
+def test_words_are_cut_inside_rare_pairs():
+    index = PairIndex(["abcd", "xab", "q", "cdcd"], np.array([2, 3, 4, 5]))
+    frequent = np.sort(np.array([pair_key(ord(a), ord(b)) for a, b in ("ab", "cd")]))
+    assert index.parts(frequent)[0] == ["ab", "cd", "ab", "cd", "cd"]
+    assert index.parts(frequent)[1].tolist() == [2, 2, 3, 5, 5]
+    index.merge(ord("c"), ord("d"), ord("Z"))
+    kept = np.sort(np.array([pair_key(ord("b"), ord("Z")), pair_key(ord("x"), ord("a"))]))
+    lines, weights = index.parts(kept)
+    assert lines == ["bZ", "xa"] and weights.tolist() == [2, 3]
+    assert index.parts(np.array([], dtype=np.int64))[0] == []
+
+
 def test_min_frequency_stops_early(texts):
     tokenizer = library(TEXTS, 400, min_frequency=5)
     assert tokenizer.get_vocab_size() == len(sw.learn(texts, vocab_size=400, min_frequency=5).tokens)
